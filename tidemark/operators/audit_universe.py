@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import specs
@@ -221,8 +221,14 @@ def missing_ranks(df: DataFrame, config: specs.AuditConfig | None = None) -> Dat
             ).alias("sample_missing_ranks")
         )
     )
-    # Both sides are one row by construction.
-    return totals.where(F.col("bad_count") > 0).join(examples, F.lit(True), "left")
+    # One row on either side.
+    one = F.lit(1).alias("_one")
+    return (
+        totals.where(F.col("bad_count") > 0)
+        .select("*", one)
+        .join(examples.select("*", one), "_one", "left")
+        .drop("_one")
+    )
 
 
 def rank_order(df: DataFrame) -> DataFrame:
