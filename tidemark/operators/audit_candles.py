@@ -480,6 +480,7 @@ def stale_runs(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFr
             "first_timestamp": ("min", "timestamp"),
             "last_timestamp": ("max", "timestamp"),
             "observations": ("sum", "one"),
+            "opens_on_copy": ("max", "part"),
         },
         slices,
     ).withColumn("runs", F.lit(1).cast("bigint"))
@@ -489,6 +490,7 @@ def stale_runs(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFr
         F.col("timestamp").alias("first_timestamp"),
         F.col("timestamp").alias("last_timestamp"),
         F.lit(1).cast("bigint").alias("observations"),
+        F.lit(1).alias("opens_on_copy"),
         (F.col("copies") - 2).alias("runs"),
     )
     duration = seconds_between("first_timestamp", "last_timestamp") + F.col("expected_seconds")

@@ -168,10 +168,18 @@ def _with_stale_runs(
         *REPORT,
         F.col("first_timestamp").alias("stale_start"),
         F.col("last_timestamp").alias("stale_end"),
+        (F.col("opens_on_copy") == 1).alias("_on_copy"),
         F.explode(F.sequence(at("first_timestamp"), at("last_timestamp"))).alias("_slice"),
-    ).distinct()
-    sliced = rows.withColumn("_slice", F.when(F.col("is_stale"), at("timestamp")))
-    inside = (F.col("timestamp") >= F.col("stale_start")) & (F.col("timestamp") <= F.col("stale_end"))
+    )
+    sliced = rows.withColumn("_slice", at("timestamp"))
+    # A run opened by the last copy of a timestamp owns the repeat row there, not the first.
+    at_start = F.col("timestamp") == F.col("stale_start")
+    inside = (
+        F.col("is_stale")
+        & (F.col("timestamp") >= F.col("stale_start"))
+        & (F.col("timestamp") <= F.col("stale_end"))
+        & (F.col("repeat") == (F.col("_on_copy") & at_start))
+    )
     left, right = sliced.alias("l"), runs.alias("r")
     same = (
         (F.col("l.symbol") == F.col("r.symbol"))
