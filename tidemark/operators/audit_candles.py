@@ -324,10 +324,12 @@ def weighted_moments(rows: DataFrame, keys: Sequence[str], value: str) -> DataFr
     )
 
 
-def return_outliers(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
+def return_outliers(
+    df: DataFrame, config: specs.AuditConfig | None = None, returns: DataFrame | None = None
+) -> DataFrame:
     """Log returns further than ``price_return_sigma`` deviations from the series mean."""
     config = config or specs.AuditConfig()
-    returns = close_returns(df)
+    returns = close_returns(df) if returns is None else returns
     stats = weighted_moments(returns, REPORT, "log_return").where(
         (F.col("n") >= config.min_outlier_observations) & (F.col("std") > 0)
     )
@@ -345,16 +347,9 @@ def return_outliers(df: DataFrame, config: specs.AuditConfig | None = None) -> D
     )
 
 
-def return_deviations(df: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Returns with their distance from the series median, and the median distance itself.
-
-    ``group_rows`` bounds the largest series. Beyond the size that ``percentile`` takes in
-    memory the returns are stored once, since the distributed quantiles read them repeatedly.
-    """
-    returns = close_returns(df)
+def return_deviations(returns: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Returns with their distance from the series median, and the median distance itself."""
     large = group_rows > SMALL_GROUP_ROWS
-    if large:
-        returns = materialise(returns, "close-returns")
     medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight", group_rows)
     if large:
         medians = materialise(medians, "return-medians")
@@ -379,12 +374,23 @@ def is_robust_jump(config: specs.AuditConfig) -> Column:
 
 
 def robust_jumps(
-    df: DataFrame, config: specs.AuditConfig | None = None, group_rows: int | None = None
+    df: DataFrame,
+    config: specs.AuditConfig | None = None,
+    group_rows: int | None = None,
+    returns: DataFrame | None = None,
 ) -> DataFrame:
-    """Price jumps judged by the median absolute deviation of the series' log returns."""
+    """Price jumps judged by the median absolute deviation of the series' log returns.
+
+    ``group_rows`` bounds the largest series. Beyond the size that ``percentile`` takes in
+    memory the returns are stored once, since the distributed quantiles read them repeatedly.
+    """
     config = config or specs.AuditConfig()
     bound = largest_group(df, REPORT) if group_rows is None else group_rows
-    deviations, mads = return_deviations(df, bound)
+    if returns is None:
+        returns = close_returns(df)
+        if bound > SMALL_GROUP_ROWS:
+            returns = materialise(returns, "close-returns")
+    deviations, mads = return_deviations(returns, bound)
     return (
         join_group_stats(deviations, mads, REPORT, ["timestamp"])
         .where(is_robust_jump(config))
@@ -588,6 +594,8 @@ def audit_candles(
     config = config or specs.AuditConfig()
     rows = scan(df, symbols, intervals)
     group_rows = largest_group(rows, REPORT)
+    # Ordered once and stored narrow; the two return checks read it five times.
+    returns = materialise(close_returns(rows), "close-returns")
     limits = {
         "absolute_return_threshold": F.lit(config.price_jump_abs_return_warn),
         "mad_multiplier": F.lit(config.price_jump_mad_multiplier),
@@ -613,7 +621,7 @@ def audit_candles(
         ),
         row_level_findings(row_level_totals(rows, config), table),
         to_findings(
-            return_outliers(rows, config),
+            return_outliers(rows, config, returns),
             table,
             "price_return_outliers",
             "WARN",
@@ -621,7 +629,7 @@ def audit_candles(
             ["max_abs_log_return"],
         ),
         to_findings(
-            robust_jumps(rows, config, group_rows).withColumns(
+            robust_jumps(rows, config, group_rows, returns).withColumns(
                 {k: limits[k] for k in ("absolute_return_threshold", "mad_multiplier")}
             ),
             table,

@@ -12,12 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.ordered import time_slice, with_trailing
-from tidemark.functions.quantiles import (
-    SMALL_GROUP_ROWS,
-    join_group_stats,
-    largest_group,
-    quantiles,
-)
+from tidemark.functions.quantiles import join_group_stats, largest_group, quantiles
 from tidemark.functions.scalars import holds, positive, seconds_between
 from tidemark.operators.audit_candles import (
     MAD_SCALE,
@@ -79,8 +74,8 @@ def candle_diagnostics(
         "time_gaps",
         holds((F.col("delta_seconds") > F.col("expected_seconds")) & (F.col("exchange") == specs.EXCHANGE)),
     )
-    if bound > SMALL_GROUP_ROWS:
-        rows = materialise(rows, "candle-diagnostics")
+    # Stored once: the statistics below read the ordered rows several times.
+    rows = materialise(rows, "candle-diagnostics")
     with_stats = _with_return_stats(rows, df, config, bound)
     return _with_stale_runs(with_stats, df, config)
 
@@ -252,6 +247,7 @@ def candle_anomalies(
     diagnostics: DataFrame, findings: DataFrame, table: str
 ) -> DataFrame:
     """One row per flagged candle and check, one per stale run, and report findings without rows."""
+    diagnostics = materialise(diagnostics, "diagnostics")
     flags = F.concat_ws(", ", *[F.when(F.col(name), F.lit(name)) for name in VOLUME_FLAGS])
     points = {
         "time_gaps": _point(
@@ -381,6 +377,7 @@ def funding_anomalies(diagnostics: DataFrame, findings: DataFrame) -> DataFrame:
 def _with_report(rows: DataFrame, findings: DataFrame, table: str) -> DataFrame:
     """Take severities from the report and add its findings that no row stands for."""
     scope = ["symbol", "check_name"]
+    rows, findings = materialise(rows, "anomaly-rows"), materialise(findings, "findings")
     own = findings.where((F.col("table") == table) & F.col("symbol").isNotNull())
     errors = (
         own.where(F.col("severity") == "ERROR")
