@@ -15,21 +15,27 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def is_finite(value: Column | str) -> Column:
-    """True for numbers other than NaN and the infinities; NULL stays NULL."""
-    value = as_column(value)
-    return ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
+def finite_sql(name: str) -> str:
+    """SQL text: a number that is neither NULL, NaN nor infinite. Never NULL itself.
+
+    NaN sorts above every number, so two comparisons cover it.
+    """
+    return (
+        f"coalesce({name} > double('-infinity') AND {name} < double('infinity'), false)"
+    )
+
+
+def positive_sql(name: str) -> str:
+    """SQL text: a finite number above zero."""
+    return f"coalesce({name} > 0 AND {name} < double('infinity'), false)"
 
 
-def present(value: Column | str) -> Column:
-    """Not NULL and finite; never NULL itself."""
-    value = as_column(value)
-    return F.coalesce(is_finite(value), F.lit(False))
+def present(name: str) -> Column:
+    return F.expr(finite_sql(name))
 
 
-def positive(value: Column | str) -> Column:
-    value = as_column(value)
-    return present(value) & F.coalesce(value > 0, F.lit(False))
+def positive(name: str) -> Column:
+    return F.expr(positive_sql(name))
 
 
 def holds(condition: Column) -> Column:

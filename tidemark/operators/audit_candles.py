@@ -22,11 +22,11 @@ from tidemark.functions.quantiles import (
 from tidemark.functions.scalars import (
     cadence_seconds,
     epoch_seconds_rounded,
+    finite_sql,
     holds,
     interval_label,
-    is_finite,
     positive,
-    present,
+    positive_sql,
     seconds_between,
 )
 from tidemark.operators.findings import counted, to_findings
@@ -48,79 +48,56 @@ MAD_SCALE = 1.4826
 
 
 # ---------------------------------------------------------------------------
-# Row-level rules
+# Row-level rules, as SQL text: one parsed expression each
 # ---------------------------------------------------------------------------
+_PRICES = ("open", "high", "low", "close")
+_BROKEN_SHAPE = (
+    "coalesce(high < low OR high < open OR high < close OR low > open OR low > close, false)"
+)
+_WELL_FORMED = " AND ".join(positive_sql(name) for name in _PRICES) + f" AND NOT {_BROKEN_SHAPE}"
+
+
 def invalid_values() -> Column:
     """Missing, non-finite or out-of-range numbers."""
-    bad = F.col("timestamp").isNull()
-    for name in ("open", "high", "low", "close"):
-        bad = bad | ~positive(name)
+    bad = ["timestamp IS NULL", "coalesce(trades_count < 0, false)"]
+    bad += [f"NOT {positive_sql(name)}" for name in _PRICES]
     for name in ("volume", "quote_volume"):
-        bad = bad | ~present(name) | holds(F.col(name) < 0)
-    bad = bad | holds(F.col("trades_count") < 0)
+        bad.append(f"NOT {finite_sql(name)} OR coalesce({name} < 0, false)")
     for name in ("taker_buy_base_volume", "taker_buy_quote_volume"):
-        bad = bad | holds(~is_finite(name) | (F.col(name) < 0))
-    return bad
+        bad.append(f"{name} IS NOT NULL AND (NOT {finite_sql(name)} OR {name} < 0)")
+    return F.expr(" OR ".join(f"({condition})" for condition in bad))
 
 
 def invalid_ohlc() -> Column:
     """High below or low above another price of the candle."""
-    high, low = F.col("high"), F.col("low")
-    return holds(
-        (high < low)
-        | (high < F.col("open"))
-        | (high < F.col("close"))
-        | (low > F.col("open"))
-        | (low > F.col("close"))
-    )
+    return F.expr(_BROKEN_SHAPE)
 
 
 def volume_flags(tolerance: float) -> dict[str, Column]:
     """Six ways in which volume, quote volume, price band and taker volume disagree."""
-    volume, quote = F.col("volume"), F.col("quote_volume")
-    low, high = F.col("low"), F.col("high")
-    taker_base, taker_quote = F.col("taker_buy_base_volume"), F.col("taker_buy_quote_volume")
-    band = holds(
-        (quote < low * volume * (1 - F.lit(tolerance)))
-        | (quote > high * volume * (1 + F.lit(tolerance)))
-    )
-    return {
-        "positive_volume_zero_quote": positive(volume) & present(quote) & holds(quote == 0),
-        "positive_quote_zero_volume": positive(quote) & present(volume) & holds(volume == 0),
-        "zero_trades_positive_volume": holds(F.col("trades_count") == 0)
-        & (positive(volume) | positive(quote)),
-        "quote_volume_price_band": positive(volume)
-        & positive(quote)
-        & positive(low)
-        & present(high)
-        & holds(high >= low)
-        & band,
-        "taker_base_exceeds_volume": present(taker_base)
-        & present(volume)
-        & holds(taker_base > volume * (1 + F.lit(tolerance))),
-        "taker_quote_exceeds_quote_volume": present(taker_quote)
-        & present(quote)
-        & holds(taker_quote > quote * (1 + F.lit(tolerance))),
+    volume, quote = positive_sql("volume"), positive_sql("quote_volume")
+    low, high = f"(1 - {tolerance}D)", f"(1 + {tolerance}D)"
+    rules = {
+        "positive_volume_zero_quote": f"{volume} AND coalesce(quote_volume = 0, false)",
+        "positive_quote_zero_volume": f"{quote} AND coalesce(volume = 0, false)",
+        "zero_trades_positive_volume": f"coalesce(trades_count = 0, false) AND ({volume} OR {quote})",
+        "quote_volume_price_band": f"{volume} AND {quote} AND {positive_sql('low')} "
+        f"AND {finite_sql('high')} AND high >= low AND (quote_volume < low * volume * {low} "
+        f"OR quote_volume > high * volume * {high})",
+        "taker_base_exceeds_volume": f"{finite_sql('taker_buy_base_volume')} "
+        f"AND {finite_sql('volume')} AND taker_buy_base_volume > volume * {high}",
+        "taker_quote_exceeds_quote_volume": f"{finite_sql('taker_buy_quote_volume')} "
+        f"AND {finite_sql('quote_volume')} AND taker_buy_quote_volume > quote_volume * {high}",
     }
-
-
-def well_formed() -> Column:
-    good = positive("open") & positive("high") & positive("low") & positive("close")
-    return good & ~invalid_ohlc()
+    return {name: F.expr(rule) for name, rule in rules.items()}
 
 
 def is_stale() -> Column:
     """Flat candle without any trading."""
-    o, h, low, c = (F.col(name) for name in ("open", "high", "low", "close"))
-    return (
-        present(o)
-        & present(h)
-        & present(low)
-        & present(c)
-        & holds((o == h) & (h == low) & (low == c))
-        & holds(F.col("volume") == 0)
-        & holds(F.col("quote_volume") == 0)
-        & (F.coalesce("trades_count", F.lit(0)) == 0)
+    return F.expr(
+        " AND ".join(finite_sql(name) for name in _PRICES)
+        + " AND open = high AND high = low AND low = close AND coalesce(volume = 0, false)"
+        + " AND coalesce(quote_volume = 0, false) AND coalesce(trades_count, 0) = 0"
     )
 
 
@@ -128,42 +105,36 @@ def candle_flags(df: DataFrame, config: specs.AuditConfig | None = None) -> Data
     """Add every row-level measure and flag to candles."""
     config = config or specs.AuditConfig()
     tolerance = config.timestamp_alignment_tolerance_seconds
-    step = cadence_seconds("interval")
-    flags = volume_flags(config.quote_volume_price_band_tolerance)
-    shape = well_formed()
-    ceiling = F.greatest("open", "close")
-    floor = F.least("open", "close")
-    with_measures = df.withColumns(
-        {
-            "expected_seconds": step,
-            "invalid_values": invalid_values(),
-            "invalid_ohlc": invalid_ohlc(),
-            **flags,
-            "range_pct": F.when(shape, (F.col("high") - F.col("low")) / F.col("close")),
-            "upper_wick_pct": F.when(shape, (F.col("high") - ceiling) / F.col("close")),
-            "lower_wick_pct": F.when(shape, (floor - F.col("low")) / F.col("close")),
-            "is_stale": is_stale(),
-        }
-    )
-    checked_step = F.when(
-        F.col("expected_seconds") <= specs.DAY_SECONDS, F.col("expected_seconds")
-    )
-    any_flag = F.col(VOLUME_FLAGS[0])
-    for name in VOLUME_FLAGS[1:]:
-        any_flag = any_flag | F.col(name)
-    offset = F.col("_offset")
+    shares = {
+        "range_pct": "(high - low) / close",
+        "upper_wick_pct": "(high - greatest(open, close)) / close",
+        "lower_wick_pct": "(least(open, close) - low) / close",
+    }
+    side = config.wick_side_pct_warn
+    checked_step = F.expr(f"if(expected_seconds <= {specs.DAY_SECONDS}, expected_seconds, NULL)")
     return (
-        with_measures.withColumn("_offset", epoch_seconds_rounded("timestamp") % checked_step)
+        df.withColumns(
+            {
+                "expected_seconds": cadence_seconds("interval"),
+                "invalid_values": invalid_values(),
+                "invalid_ohlc": invalid_ohlc(),
+                **volume_flags(config.quote_volume_price_band_tolerance),
+                **{n: F.expr(f"if({_WELL_FORMED}, {share}, NULL)") for n, share in shares.items()},
+                "is_stale": is_stale(),
+            }
+        )
+        .withColumn("_offset", epoch_seconds_rounded("timestamp") % checked_step)
         .withColumns(
             {
-                "timestamp_distance_seconds": F.least(offset, checked_step - offset),
-                "timestamp_alignment": holds(
-                    (offset > tolerance) & (checked_step - offset > tolerance)
+                "timestamp_distance_seconds": F.expr("least(_offset, expected_seconds - _offset)"),
+                "timestamp_alignment": F.expr(
+                    f"coalesce(_offset > {tolerance} AND expected_seconds - _offset > {tolerance}, false)"
+                ),
+                "volume_price_inconsistency": F.expr(" OR ".join(VOLUME_FLAGS)),
+                "wick_outliers": F.expr(
+                    f"coalesce(range_pct > {config.wick_range_pct_warn}D OR upper_wick_pct > {side}D "
+                    f"OR lower_wick_pct > {side}D, false)"
                 ),
-                "volume_price_inconsistency": any_flag,
-                "wick_outliers": holds(F.col("range_pct") > config.wick_range_pct_warn)
-                | holds(F.col("upper_wick_pct") > config.wick_side_pct_warn)
-                | holds(F.col("lower_wick_pct") > config.wick_side_pct_warn),
             }
         )
         .drop("_offset")
@@ -172,31 +143,22 @@ def candle_flags(df: DataFrame, config: specs.AuditConfig | None = None) -> Data
 
 def row_level_totals(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
     """All single-row checks of a table in one scan and one small shuffle."""
-    flagged = candle_flags(df, config)
-
-    def totals(flag: str) -> list[Column]:
-        on = F.col(flag)
-        return [
-            F.count_if(on).alias(f"{flag}_count"),
-            F.min(F.when(on, F.col("timestamp"))).alias(f"{flag}_first"),
-            F.max(F.when(on, F.col("timestamp"))).alias(f"{flag}_last"),
+    totals = []
+    for flag in ROW_CHECKS:
+        totals += [
+            f"count_if({flag}) AS {flag}_count",
+            f"min(if({flag}, timestamp, NULL)) AS {flag}_first",
+            f"max(if({flag}, timestamp, NULL)) AS {flag}_last",
         ]
-
-    def peak(value: str, flag: str) -> Column:
-        return F.max(F.when(F.col(flag), F.col(value))).alias(f"max_{value}")
-
-    return flagged.groupBy(*REPORT).agg(
-        *totals("timestamp_alignment"),
-        *totals("invalid_values"),
-        *totals("invalid_ohlc"),
-        *totals("volume_price_inconsistency"),
-        *totals("wick_outliers"),
-        *[F.count_if(F.col(name)).alias(f"{name}_count") for name in VOLUME_FLAGS],
-        peak("timestamp_distance_seconds", "timestamp_alignment").alias("max_distance_seconds"),
-        peak("range_pct", "wick_outliers"),
-        peak("upper_wick_pct", "wick_outliers"),
-        peak("lower_wick_pct", "wick_outliers"),
+    totals += [f"count_if({name}) AS {name}_count" for name in VOLUME_FLAGS]
+    totals.append(
+        "max(if(timestamp_alignment, timestamp_distance_seconds, NULL)) AS max_distance_seconds"
     )
+    totals += [
+        f"max(if(wick_outliers, {share}, NULL)) AS max_{share}"
+        for share in ("range_pct", "upper_wick_pct", "lower_wick_pct")
+    ]
+    return candle_flags(df, config).groupBy(*REPORT).agg(*[F.expr(total) for total in totals])
 
 
 def _row_check(totals: DataFrame, flag: str, extras: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.ordered import with_previous
-from tidemark.functions.scalars import date_literal, holds, is_finite, present
+from tidemark.functions.scalars import date_literal, finite_sql, present
 from tidemark.operators.findings import counted, to_findings
 from tidemark.operators.gaps import scan
 from tidemark.operators.planning import calendar
@@ -96,13 +96,9 @@ def _surplus_by_symbol(groups: DataFrame, measure) -> DataFrame:
 
 
 def universe_value_errors(df: DataFrame) -> DataFrame:
-    cap = F.col("market_cap")
     bad = (
-        F.col("date").isNull()
-        | F.col("symbol").isNull()
-        | F.col("rank").isNull()
-        | holds(F.col("rank") < 1)
-        | holds(~is_finite(cap) | (cap < 0))
+        "date IS NULL OR symbol IS NULL OR rank IS NULL OR rank < 1 OR (market_cap IS NOT NULL "
+        f"AND (NOT {finite_sql('market_cap')} OR market_cap < 0))"
     )
     return (
         df.where(bad)

@@ -152,9 +152,7 @@ def repair(
     named = source_symbols(gaps, backfill, table)
     fetched = rows_in_gaps(named.where(~F.col("off_grid") & ~F.col("too_large")), backfill, table)
     # One row of a gap that breaks the contract rejects what was found for that gap.
-    broken = F.lit(False)
-    for rule in validate.table_rules(table):
-        broken = broken | rule.broken
+    broken = validate.breaks_any_rule(table)
     gap_columns = [f"gap_{c}" for c in GAP_KEYS]
     on_grid = (
         (

@@ -28,45 +28,54 @@ class ContractError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
+    """A rule's name, its column and the SQL condition that breaks it.
+
+    A condition that comes out NULL is not broken: missing values are left to ``not_null``.
+    """
+
     name: str
     column: str
-    broken: Column
+    broken: str
 
 
 def _required(column: str) -> Rule:
-    return Rule("not_null", column, F.col(column).isNull())
+    return Rule("not_null", column, f"{column} IS NULL")
 
 
 def _text(column: str, low: int, high: int, pattern: str | None = None) -> list[Rule]:
-    value = F.col(column)
     rules = [
         _required(column),
-        Rule("length", column, holds(~F.length(value).between(low, high))),
+        Rule("length", column, f"length({column}) NOT BETWEEN {low} AND {high}"),
     ]
     if pattern:
-        rules.append(Rule("pattern", column, holds(~value.rlike(pattern))))
+        rules.append(Rule("pattern", column, f"NOT {column} RLIKE '{pattern}'"))
     return rules
 
 
 def _constant(column: str, value: str) -> list[Rule]:
-    return [_required(column), Rule("constant", column, holds(F.col(column) != value))]
+    return [_required(column), Rule("constant", column, f"{column} <> '{value}'")]
+
+
+def _above(column: str, limit: int) -> Rule:
+    return Rule("positive", column, f"{column} <= {limit}")
 
 
-def _below(column: str, limit: float, strict: bool = False) -> Rule:
-    value = F.col(column)
-    broken = value <= limit if strict else value < limit
-    # NaN reads as missing, and missing values are left to the not-null rule.
-    numeric = ~F.isnan(value.cast("double"))
-    return Rule("positive" if strict else "minimum", column, holds(broken & numeric))
+def _at_least(column: str, limit: int) -> Rule:
+    return Rule("minimum", column, f"{column} < {limit}")
 
 
 def _number(column: str) -> Rule:
-    value = F.col(column)
-    return Rule("not_null", column, value.isNull() | holds(F.isnan(value)))
+    return Rule("not_null", column, f"{column} IS NULL OR isnan({column})")
 
 
-def _infinite(column: str) -> Rule:
-    return Rule("finite", column, holds(F.abs(F.col(column)) == F.lit(float("inf"))))
+def _finite(column: str) -> Rule:
+    return Rule("finite", column, f"abs({column}) = double('infinity')")
+
+
+def _order(left: str, sign: str, right: str) -> Rule:
+    # NaN sorts above all numbers; it breaks not_null, not the order of prices.
+    numbers = f"NOT isnan({left}) AND NOT isnan({right})"
+    return Rule(f"{left}_vs_{right}", left, f"{left} {sign} {right} AND {numbers}")
 
 
 def table_rules(table: str) -> list[Rule]:
@@ -76,47 +85,44 @@ def table_rules(table: str) -> list[Rule]:
         return [
             *_constant("provider", specs.PROVIDER),
             _required("provider_id"),
-            _below("provider_id", 1),
+            _at_least("provider_id", 1),
             _required("date"),
             *_text("symbol", 1, 20, SYMBOL_PATTERN),
             *_text("name", 1, 100),
             _required("rank"),
-            _below("rank", 1),
+            _at_least("rank", 1),
         ]
     rules = [*_constant("exchange", specs.EXCHANGE), *_text("symbol", 3, 20, SYMBOL_PATTERN)]
     rules.append(_required("timestamp"))
     if spec.kind == "kline":
-        rules += [
-            _required("interval"),
-            Rule("known", "interval", holds(~F.col("interval").isin(*specs.INTERVALS))),
-        ]
+        known = ", ".join(f"'{label}'" for label in specs.INTERVALS)
+        rules += [_required("interval"), Rule("known", "interval", f"interval NOT IN ({known})")]
         for name in ("open", "high", "low", "close"):
-            rules += [_number(name), _below(name, 0, strict=True)]
+            rules += [_number(name), _above(name, 0)]
         for name in ("volume", "quote_volume"):
-            rules += [_number(name), _below(name, 0)]
+            rules += [_number(name), _at_least(name, 0)]
         for name in ("trades_count", "taker_buy_base_volume", "taker_buy_quote_volume"):
-            rules.append(_below(name, 0))
-        pairs = [
-            ("high", "low", F.col("high") < F.col("low")),
-            ("high", "open", F.col("high") < F.col("open")),
-            ("high", "close", F.col("high") < F.col("close")),
-            ("low", "open", F.col("low") > F.col("open")),
-            ("low", "close", F.col("low") > F.col("close")),
-        ]
-        for left, right, broken in pairs:
-            numbers = ~F.isnan(left) & ~F.isnan(right)
-            rules.append(Rule(f"{left}_vs_{right}", left, holds(broken & numbers)))
+            rules.append(_at_least(name, 0))
+        rules += [_order("high", "<", other) for other in ("low", "open", "close")]
+        rules += [_order("low", ">", other) for other in ("open", "close")]
     elif table == "open_interest":
         rules += [
             _number("open_interest"),
-            _below("open_interest", 0, strict=True),
-            _infinite("open_interest"),
+            _above("open_interest", 0),
+            _finite("open_interest"),
         ]
     else:
-        rules += [_number("funding_rate"), _infinite("funding_rate")]
+        rules += [_number("funding_rate"), _finite("funding_rate")]
     return rules
 
 
+def breaks_any_rule(table: str) -> Column:
+    """Whether a row breaks any row-level rule of the table."""
+    return F.expr(
+        " OR ".join(f"coalesce({rule.broken}, false)" for rule in table_rules(table))
+    )
+
+
 def column_problems(df: DataFrame, table: str) -> list[str]:
     """Unknown and missing columns; the order of columns is free."""
     known = specs.table_spec(table).columns
@@ -142,13 +148,9 @@ def row_violations(df: DataFrame, table: str, keep: Sequence[str] = ()) -> DataF
     """Broken row-level rules, all of them found in one pass over the rows."""
     spec = specs.table_spec(table)
     broken = [
-        F.when(
-            rule.broken,
-            F.struct(
-                F.lit(rule.name).alias("rule"),
-                F.lit(rule.column).alias("column"),
-                F.col(rule.column).cast("string").alias("value"),
-            ),
+        F.expr(
+            f"if(coalesce({rule.broken}, false), struct('{rule.name}' AS rule, '{rule.column}' AS "
+            f"column, cast({rule.column} AS string) AS value), NULL)"
         )
         for rule in table_rules(table)
     ]
