@@ -33,10 +33,12 @@ def calendar(bounds: DataFrame, frequency: str) -> DataFrame:
         raise ValueError(f"unknown frequency {frequency!r}; one of {', '.join(FREQUENCIES)}")
     ordered = bounds.where(F.col("start") <= F.col("end"))
     others = [c for c in bounds.columns if c not in ("start", "end")]
+    # Literal bounds may be folded before the filter runs, so the sequence guards itself.
+    end = F.greatest("start", "end")
     if frequency == "monthly":
-        dates = F.sequence(F.trunc("start", "MM"), F.trunc("end", "MM"), F.expr("interval 1 month"))
+        dates = F.sequence(F.trunc("start", "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))
     else:
-        dates = F.sequence("start", "end", F.expr("interval 1 day"))
+        dates = F.sequence("start", end, F.expr("interval 1 day"))
     days = ordered.select(*others, F.explode(dates).alias("date"))
     return days.where(F.dayofweek("date") == 2) if frequency == "weekly" else days
 
@@ -64,7 +66,9 @@ def candle_periods(requests: DataFrame, as_of: date | str) -> DataFrame:
             "_month",
             F.explode(
                 F.sequence(
-                    F.trunc("start", "MM"), F.trunc("end", "MM"), F.expr("interval 1 month")
+                    F.trunc("start", "MM"),
+                    F.trunc(F.greatest("start", "end"), "MM"),
+                    F.expr("interval 1 month"),
                 )
             ),
         )
@@ -81,7 +85,7 @@ def candle_periods(requests: DataFrame, as_of: date | str) -> DataFrame:
     daily = (
         spans.where(~F.col("_closed"))
         .where(first <= last)
-        .withColumn("_day", F.explode(F.sequence(first, last, F.expr("interval 1 day"))))
+        .withColumn("_day", F.explode(F.sequence(first, F.greatest(first, last), F.expr("interval 1 day"))))
         .select(
             *others,
             F.date_format("_day", "yyyy-MM-dd").alias("period"),
