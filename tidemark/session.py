@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when the aggregate above then needs an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Unions must not promise a partitioning that adaptive re-planning may change under them.
+    "spark.sql.unionOutputPartitioning": "false",
     # Only the partitions present in a write are replaced.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
