@@ -72,28 +72,24 @@ def test_no_series_window_sees_more_than_borders(spark):
 
 def test_runs_equal_plain_numbering(spark, tiny_slices):
     rng = random.Random(5)
-    rows = [("a", START + timedelta(hours=i), int(rng.random() < 0.2)) for i in range(400)]
-    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, starts int").withColumn(
-        "one", F.lit(1).cast("bigint")
-    )
+    rows, at = [], START
+    for _ in range(400):
+        at += timedelta(minutes=rng.choice([60] * 12 + [30, 120]))
+        rows.append(("a", at, rng.random() < 0.85))
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, on boolean")
     found = ordered.runs_of(
-        df,
-        ["k"],
-        ["ts"],
-        "starts",
-        {"first": ("min", "ts"), "last": ("max", "ts"), "n": ("sum", "one")},
-        ordered.time_slice("ts", 3_600),
-    )
-    whole = Window.partitionBy("k").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    plain = (
-        df.withColumn("run", F.sum("starts").over(whole))
-        .groupBy("k", "run")
-        .agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum("one").alias("n"))
-        .drop("run")
-    )
-    assert sorted(map(tuple, found.select("k", "first", "last", "n").collect())) == sorted(
-        map(tuple, plain.collect())
+        df, ["k"], ["ts"], "on", F.lit(3_600), ordered.time_slice("ts", 3_600)
     )
+    expected, previous = [], (None, False)
+    for _, ts, on in rows:
+        if on and previous[1] and ts - previous[0] == timedelta(hours=1):
+            expected[-1][1:] = [ts, expected[-1][2] + 1]
+        elif on:
+            expected.append([ts, ts, 1])
+        previous = (ts, on)
+    columns = ("first_timestamp", "last_timestamp", "observations")
+    assert sorted(map(list, found.select(*columns).collect())) == expected
+    assert max(run[2] for run in expected) > 2 * ordered.SLICE_STEPS
 
 
 @pytest.mark.parametrize("kind", ["spread", "copies", "two_values", "single"])

@@ -16,7 +16,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import epoch_seconds
+from tidemark.functions.scalars import epoch_seconds, seconds_between
 
 SLICE_STEPS = 4_096
 SLICE = "_slice"
@@ -78,42 +78,70 @@ def runs_of(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    starts: str,
-    aggregates: Mapping[str, tuple[str, str]],
+    member: str,
+    step_seconds: Column,
     slice_by: Column,
+    peaks: Sequence[str] = (),
 ) -> DataFrame:
-    """Collapse consecutive rows into runs; a row with ``starts`` = 1 opens a new one.
+    """Runs of ``member`` rows exactly one step apart with no other row in between.
 
-    ``aggregates`` maps an output to (function, column), the function being ``min``, ``max``
-    or ``sum``, so that pieces of a run found in different slices can be merged.
+    ``order`` starts with the timestamp. One row per run: first and last timestamp, number of
+    observations and the maximum of every column in ``peaks``. Runs are built inside slices;
+    only pieces that touch a slice border are then chained over the series.
     """
-    keys = list(keys)
-
-    def apply(columns: Mapping[str, tuple[str, str]]) -> list[Column]:
-        known = {"min": F.min, "max": F.max, "sum": F.sum}
-        return [known[kind](column).alias(name) for name, (kind, column) in columns.items()]
-
+    keys, time = list(keys), order[0]
     inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pieces = (
+
+    def linked(earlier: Column, later: Column) -> Column:
+        return F.coalesce(seconds_between(earlier, later) == step_seconds, F.lit(False))
+
+    rows = (
         df.withColumn(SLICE, slice_by)
-        .withColumn("_piece", F.sum(starts).over(running))
+        .withColumns(
+            {
+                "_before": F.lag(F.struct(F.col(time).alias("at"), F.col(member).alias("on"))).over(
+                    inside
+                ),
+                "_tail": F.lead(F.lit(True)).over(inside).isNull(),
+            }
+        )
+        .where(member)
+    )
+    joined = F.coalesce("_before.on", F.lit(False)) & linked(F.col("_before.at"), F.col(time))
+    pieces = (
+        rows.withColumn("_head", F.col("_before").isNull())
+        .withColumn("_starts", F.when(joined, 0).otherwise(1))
+        .withColumn("_piece", F.sum("_starts").over(running))
         .groupBy(*keys, SLICE, "_piece")
-        .agg(*apply(aggregates))
-        .withColumn("_last_piece", F.max("_piece").over(Window.partitionBy(*keys, SLICE)))
+        .agg(
+            F.min(time).alias("first_timestamp"),
+            F.max(time).alias("last_timestamp"),
+            F.count("*").alias("observations"),
+            F.bool_or("_head").alias("_head"),
+            F.bool_or("_tail").alias("_tail"),
+            *[F.max(name).alias(name) for name in peaks],
+        )
     )
-    # Piece 0 continues a run of an earlier slice; only it and last pieces can be part of one.
-    open_ended = (F.col("_piece") == 0) | (F.col("_piece") == F.col("_last_piece"))
-    chain = (
-        Window.partitionBy(*keys)
-        .orderBy(SLICE, "_piece")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    results = [*keys, "first_timestamp", "last_timestamp", "observations", *peaks]
+    chain = Window.partitionBy(*keys).orderBy(SLICE, "_piece")
+    so_far = chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = (
+        F.col("_head")
+        & F.coalesce(F.lag("_tail").over(chain), F.lit(False))
+        & linked(F.lag("last_timestamp").over(chain), F.col("first_timestamp"))
     )
-    merged = (
-        pieces.where(open_ended)
-        .withColumn("_chain", F.sum((F.col("_piece") > 0).cast("int")).over(chain))
+    border = (
+        pieces.where(F.col("_head") | F.col("_tail"))
+        .withColumn("_opens", F.when(carried, 0).otherwise(1))
+        .withColumn("_chain", F.sum("_opens").over(so_far))
         .groupBy(*keys, "_chain")
-        .agg(*apply({name: (kind, name) for name, (kind, _) in aggregates.items()}))
-        .drop("_chain")
+        .agg(
+            F.min("first_timestamp").alias("first_timestamp"),
+            F.max("last_timestamp").alias("last_timestamp"),
+            F.sum("observations").alias("observations"),
+            *[F.max(name).alias(name) for name in peaks],
+        )
     )
-    return pieces.where(~open_ended).select(*keys, *aggregates).unionByName(merged)
+    inner = pieces.where(~F.col("_head") & ~F.col("_tail"))
+    return inner.select(*results).unionByName(border.select(*results))

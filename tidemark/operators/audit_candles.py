@@ -23,7 +23,6 @@ from tidemark.functions.scalars import (
     cadence_seconds,
     epoch_seconds_rounded,
     finite_sql,
-    holds,
     interval_label,
     positive,
     positive_sql,
@@ -422,37 +421,18 @@ def stale_runs(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFr
         .groupBy(*REPORT, "expected_seconds", "timestamp", "is_stale")
         .agg(F.count("*").alias("copies"))
     )
-    slices = time_slice("timestamp", F.col("expected_seconds"))
-    order = ["timestamp", "is_stale"]
-    ordered = with_previous(rows, REPORT, order, ["timestamp", "is_stale"], slices)
-    continues = holds(F.col("prev_is_stale")) & holds(
-        seconds_between("prev_timestamp", "timestamp") == F.col("expected_seconds")
-    )
-    first = F.struct(F.lit(0).alias("part"), F.when(continues, 0).otherwise(1).alias("starts"))
-    last = F.struct(F.lit(1).alias("part"), F.lit(1).alias("starts"))
-    stale = ordered.where("is_stale").select(
-        *REPORT, "expected_seconds", "timestamp", "copies", first.alias("_first"), last.alias("_last")
-    )
-    pieces = stale.withColumn(
-        "_piece",
-        F.explode(
-            F.when(F.col("copies") > 1, F.array("_first", "_last")).otherwise(F.array("_first"))
-        ),
-    ).select(*REPORT, "expected_seconds", "timestamp", "_piece.part", "_piece.starts")
+    parts = F.when(F.col("copies") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    step = F.col("expected_seconds")
     runs = runs_of(
-        pieces.withColumn("one", F.lit(1).cast("bigint")),
+        rows.withColumn("opens_on_copy", F.explode(parts)),
         [*REPORT, "expected_seconds"],
-        ["timestamp", "part"],
-        "starts",
-        {
-            "first_timestamp": ("min", "timestamp"),
-            "last_timestamp": ("max", "timestamp"),
-            "observations": ("sum", "one"),
-            "opens_on_copy": ("max", "part"),
-        },
-        slices,
+        ["timestamp", "is_stale", "opens_on_copy"],
+        "is_stale",
+        step,
+        time_slice("timestamp", step),
+        ["opens_on_copy"],
     ).withColumn("runs", F.lit(1).cast("bigint"))
-    alone = stale.where(F.col("copies") > 2).select(
+    alone = rows.where(F.col("is_stale") & (F.col("copies") > 2)).select(
         *REPORT,
         "expected_seconds",
         F.col("timestamp").alias("first_timestamp"),
