@@ -185,6 +185,9 @@ def test_store_inserts_once_and_replaces_days(spark, folder, candles):
     tables.replace_days(spark, root, "spot", changed, days)
     stored = tables.read_table(spark, root, "spot")
     assert stored.count() == 12 and stored.where("open = 99.5").count() == 6
+    assert tables.register_views(spark, root) == ["spot"]
+    counted = spark.sql("SELECT symbol, count(*) AS n FROM spot WHERE interval = '4h' GROUP BY symbol")
+    assert [tuple(r) for r in counted.collect()] == [("BTCUSDT", 12)]
     scanned = tables.read_table(spark, root, "spot", ["BTCUSDT"], ["4h"])
     plan = scanned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(interval" in plan and "EqualTo(symbol,BTCUSDT)" in plan

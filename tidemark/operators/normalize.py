@@ -7,7 +7,6 @@ are aggregated per file and joined back; everything else is an expression per li
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark import specs
 from tidemark.functions.scalars import cadence_seconds, epoch_micros
 from tidemark.operators import upsert
 

@@ -594,7 +594,7 @@ def repair_guards(spark, folder):
 
 FUNDING_SOURCE = """
 SELECT 'binance' AS exchange, symbol, time_bucket(INTERVAL '8 hours', ts) + INTERVAL '8 hours'
-       AS "timestamp", round((avg(value) - 50) / 1000, 6) AS funding_rate
+       AS "timestamp", round((avg(value) - 50) / 1000 + 3e-10, 6) AS funding_rate
 FROM (SELECT ts, value, CASE WHEN event_type = 'view' THEN '1000VIEWUSDT'
                              ELSE upper(event_type) || 'USDT' END AS symbol FROM events)
 GROUP BY 1, 2, 3
@@ -610,7 +610,7 @@ def _funding_source(spark, folder):
         views.read_table(spark, folder, "events")
         .select(symbol.alias("symbol"), views.bucket_end("ts", 28_800).alias("timestamp"), "value")
         .groupBy("symbol", "timestamp")
-        .agg(F.round((F.avg("value") - 50) / 1_000, 6).alias("funding_rate"))
+        .agg(views.mean_rate().alias("funding_rate"))
         .select(F.lit("binance").alias("exchange"), "symbol", "timestamp", "funding_rate")
     )
 

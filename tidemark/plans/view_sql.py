@@ -99,7 +99,7 @@ FROM (
 SELECT * FROM (
     SELECT 'binance' AS exchange, upper(event_type) || 'USDT' AS symbol,
            time_bucket(INTERVAL '8 hours', ts) + INTERVAL '8 hours' AS "timestamp",
-           round((avg(value) - 50) / 1000, 6) AS funding_rate
+           round((avg(value) - 50) / 1000 + 3e-10, 6) AS funding_rate
     FROM events GROUP BY 1, 2, 3) AS f
 WHERE (CAST(epoch("timestamp") AS BIGINT) // 28800) % 17 <> 3
 """, ()),

@@ -287,6 +287,11 @@ def dirty_open_interest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def mean_rate():
+    """Funding rate of a bucket; the tiny offset keeps exact halves from rounding either way."""
+    return F.round((F.avg("value") - 50) / 1_000 + 3e-10, 6)
+
+
 def funding_rates(spark: SparkSession, folder: str) -> DataFrame:
     """Mean event value per symbol and eight-hour bucket, with every 17th bucket left out."""
     return (
@@ -297,7 +302,7 @@ def funding_rates(spark: SparkSession, folder: str) -> DataFrame:
             "value",
         )
         .groupBy("symbol", "timestamp")
-        .agg(F.round((F.avg("value") - 50) / 1_000, 6).alias("funding_rate"))
+        .agg(mean_rate().alias("funding_rate"))
         .where(
             F.pmod((epoch_seconds("timestamp") / 28_800).cast("bigint"), F.lit(17)) != 3
         )

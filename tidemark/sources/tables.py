@@ -71,6 +71,14 @@ def read_table(
     return scan(stored, symbols, intervals)
 
 
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Make every stored table below ``root`` a temporary view for SQL; returns their names."""
+    present = [name for name in specs.TABLES if table_exists(spark, root, name)]
+    for name in present:
+        read_table(spark, root, name).createOrReplaceTempView(name)
+    return present
+
+
 def _touched(stored: DataFrame, incoming: DataFrame, table: str) -> DataFrame:
     """Stored rows of the partitions that incoming rows fall into.
 
