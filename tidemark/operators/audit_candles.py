@@ -479,7 +479,7 @@ def gap_message() -> Column:
     )
 
 
-# flag: (severity, message, metadata columns)
+# flag: (severity, message, metadata columns). The texts are fixed values of the report.
 ROW_CHECKS = {
     "timestamp_alignment": (
         "WARN",

@@ -189,11 +189,17 @@ def missing_rank_slots(df: DataFrame, config: specs.AuditConfig | None = None) -
     ordered = with_previous(
         ranks, ["date"], ["rank"], ["rank"], F.floor(F.col("rank") / RANK_SLICE).cast("bigint")
     )
-    first_free = F.coalesce("prev_rank", F.lit(0)) + 1
-    return (
-        ordered.where(F.col("rank") > first_free)
-        .select("date", F.explode(F.sequence(first_free, F.col("rank") - 1)).alias("rank"))
+    holes = ordered.select(
+        "date",
+        (F.coalesce("prev_rank", F.lit(0)) + 1).alias("_low"),
+        (F.col("rank") - 1).alias("_high"),
+    ).where(F.col("_low") <= F.col("_high"))
+    # Expanded block by block, so that one absurd rank does not become one huge array.
+    blocks = holes.withColumn(
+        "_at", F.explode(F.sequence(F.col("_low"), F.col("_high"), F.lit(RANK_SLICE)))
     )
+    block_end = F.least(F.col("_at") + (RANK_SLICE - 1), F.col("_high"))
+    return blocks.select("date", F.explode(F.sequence(F.col("_at"), block_end)).alias("rank"))
 
 
 def missing_ranks(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
