@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,14 +25,34 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+    """Apply the runtime settings to an existing session, hand it the package, and return it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each context, wherever the driver found it."""
+    context = spark.sparkContext
+    if any("/tidemark-code" in path for path in context.listFiles):
+        return
+    package = Path(__file__).resolve().parent
+    if not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / "tidemark-code.zip"
+    with zipfile.ZipFile(archive, "w") as code:
+        for source in sorted(package.rglob("*.py")):
+            code.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is configured."""
+    """The cluster's checkpoint folder.
+
+    Where none is set, a session whose tasks all run in the driver's own process (a local master)
+    gets a temporary one; any other session is refused, as its executors would not share it.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", ""
     )
@@ -39,6 +61,9 @@ def shared_folder(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set; intermediate tables need a folder that all executors share")
     local = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(local)
     return local
