@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, sharding
+from tidemark.llm import langid, mixing, packing, quality, sharding
+from tidemark.llm.labelled import held_out
 from tidemark.llm.shared import prepare
 from tidemark.llm.words import WORD
 
@@ -35,6 +36,14 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit_quality(docs, labels, training=~held_out(F.col("doc_id")))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), tokenizer_path())
@@ -72,6 +81,14 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.fit_languages(docs, training=~held_out(F.col("doc_id")))
+    judged = langid.identify(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 OP10_SQL = rf"""
 WITH docs AS (
   SELECT doc_id, source,
