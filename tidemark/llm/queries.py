@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, quality, sharding
+from tidemark.llm import langid, mixing, packing, quality, sharding, simhash
 from tidemark.llm.labelled import held_out
 from tidemark.llm.shared import prepare
 from tidemark.llm.words import WORD
@@ -141,3 +141,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     mixed = mixing.mix(docs, size_column="size")
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return simhash.near_duplicates(docs, carried=["doc_id"])
