@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, quality, sharding, simhash
+from tidemark.llm import langid, mixing, packing, quality, sharding, simhash, substrings
 from tidemark.llm.labelled import held_out
 from tidemark.llm.shared import prepare
 from tidemark.llm.words import WORD
@@ -36,6 +36,32 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+OP1_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents
+), windows AS (
+  SELECT place, start, sha256(array_to_string(words[start : start + 34], ' ')) AS words
+  FROM docs, unnest(range(1, len(words) - 33)) AS t(start)
+), repeated AS (
+  SELECT place, start FROM windows WHERE words IN (SELECT words FROM windows GROUP BY words HAVING count(*) > 1)
+), removed AS (
+  SELECT place, list(DISTINCT pos) AS ats FROM repeated, unnest(range(start, start + 35)) AS t(pos) GROUP BY place
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(ats), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN ats IS NULL THEN words
+         ELSE list_transform(list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(ats, i)), lambda i: words[i]) END, ' '))
+         AS kept_sha256
+FROM docs LEFT JOIN removed USING (place)
+"""
+
+
+@query("op1_substrings", OP1_SQL)
+def op1_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    cleaned = substrings.remove_repeats(docs, carried=["doc_id"])
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_quality")
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")

@@ -96,17 +96,23 @@ def _sliding(values: np.ndarray, width: int, fold: np.ufunc) -> np.ndarray:
     return out
 
 
+def least_phrases(hashes: np.ndarray, phrase: int, window: int) -> np.ndarray:
+    """The least phrase hash in each window of ``window`` words, one for each start."""
+    grams = sequence_hashes(hashes, phrase)
+    reach = window - phrase + 1
+    return _sliding(grams, reach, np.minimum) if len(grams) >= reach else grams[:0]
+
+
 def anchors(hashes: np.ndarray, phrase: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of phrases that are the least of some window that holds them.
 
     Every window of ``window`` words holds one or more, chosen by the words of that window alone,
     so equal windows hold equal anchors. Ties are all chosen.
     """
-    grams = sequence_hashes(hashes, phrase)
-    reach = window - phrase + 1
-    if len(grams) < reach:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    least = _sliding(grams, reach, np.minimum)
+    grams, reach = sequence_hashes(hashes, phrase), window - phrase + 1
+    least = least_phrases(hashes, phrase, window)
+    if not len(least):
+        return np.zeros(0, dtype=np.int64), grams[:0]
     padded = np.concatenate([np.zeros(reach - 1, np.uint64), least, np.zeros(reach - 1, np.uint64)])
     chosen = np.flatnonzero(_sliding(padded, reach, np.maximum) == grams)
     return chosen, grams[chosen]
