@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, packing, quality, sharding, simhash, substrings
+from tidemark.llm import langid, lattice, mixing, packing, quality, sharding, simhash, substrings
 from tidemark.llm.labelled import held_out
 from tidemark.llm.shared import prepare
 from tidemark.llm.words import WORD
@@ -173,3 +173,27 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return simhash.near_duplicates(docs, carried=["doc_id"])
+
+
+OP8_SQL = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM valid UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id)::BIGINT AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings e LEFT JOIN least l ON e.vec_id = l.a LEFT JOIN counts c ON e.vec_id = c.a
+"""
+
+
+@query("op8_lattice", OP8_SQL)
+def op8_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, folder, "embeddings"))
