@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, lattice, mixing, packing, quality, sharding, simhash, substrings
+from tidemark.llm import curves, langid, lattice, mixing, packing, quality, sharding, simhash, substrings
 from tidemark.llm.labelled import held_out
 from tidemark.llm.shared import prepare
 from tidemark.llm.words import WORD
@@ -197,3 +197,8 @@ FROM embeddings e LEFT JOIN least l ON e.vec_id = l.a LEFT JOIN counts c ON e.ve
 @query("op8_lattice", OP8_SQL)
 def op8_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op4_curves")
+def op4_curves(spark: SparkSession, folder: str) -> DataFrame:
+    return curves.nearest(table(spark, folder, "embeddings"))
