@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import curves, langid, lattice, mixing, packing, quality, sharding, simhash, substrings
+from tidemark.llm import curves, langid, lattice, mixing, packing, quality, sharding, simhash, substrings, urls
 from tidemark.llm.labelled import held_out
 from tidemark.llm.shared import prepare
 from tidemark.llm.words import WORD
@@ -202,3 +202,8 @@ def op8_lattice(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_curves")
 def op4_curves(spark: SparkSession, folder: str) -> DataFrame:
     return curves.nearest(table(spark, folder, "embeddings"))
+
+
+@query("op6_urls")
+def op6_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(table(spark, folder, "pages"))

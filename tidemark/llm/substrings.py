@@ -160,11 +160,11 @@ def locate(texts: list[bytes], window: int, one: np.ndarray, two: np.ndarray) ->
     return out
 
 
-def _removal(window: int, carried: Sequence[str], schema: pa.Schema):
+def _removal(window: int, carried: Sequence[str], text_column: str, schema: pa.Schema):
     def rows(key: tuple, docs: pa.Table, confirmed: pa.Table) -> pa.Table:
         one, two = (_unsigned(confirmed.column(c)) for c in ("h1", "h2"))
         order = np.lexsort((two, one))
-        texts = as_bytes(docs.column("__text"))
+        texts = as_bytes(docs.column(text_column))
         kept, total, removed, spans = [], [], [], []
         for text, covered in zip(texts, locate(texts, window, one[order], two[order]), strict=True):
             words = text.split()
@@ -221,9 +221,11 @@ def remove_repeats(
             T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
         ]
     )
-    keyed = docs.select(*carried, shard.alias("__shard"), text.alias("__text"))
+    # The text travels once, also where it is among the carried columns.
+    own = text_column if text_column in carried else "__text"
+    keyed = docs.select(*carried, shard.alias("__shard"), *([] if own == text_column else [text.alias(own)]))
     return (
         keyed.groupBy("__shard")
         .cogroup(confirmed.groupBy("shard"))
-        .applyInArrow(_removal(window, carried, to_arrow_schema(schema)), schema)
+        .applyInArrow(_removal(window, carried, own, to_arrow_schema(schema)), schema)
     )
