@@ -19,8 +19,11 @@ from pyspark.sql import types as T
 
 from tidemark.llm.words import as_bytes
 
-#: Words kept in a worker's cache; it is emptied when full, which costs time and changes nothing.
-CACHED_WORDS = 400_000
+#: Words in each of the two generations of a worker's cache. When the young one is full it becomes
+#: the old one, so words that are in use stay; losing the others costs time and changes nothing.
+CACHED_WORDS = 250_000
+#: Bytes of text that are encoded at a time.
+SLICE_BYTES = 1 << 20
 
 # Words whose lower-casing, normal form or pieces need the tokenizer's own rules.
 _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbeİ̀-\U0010ffff]|<\\|")
@@ -48,6 +51,7 @@ class WordEncoder:
             [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
         self.by_word: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.by_piece: dict[str, bytes] = {}
 
     def _learn_pieces(self, pieces: list[str]) -> None:
@@ -80,12 +84,28 @@ class WordEncoder:
         words = [text.split() for text in texts]
         new = set(chain.from_iterable(words))
         if len(self.by_word) > CACHED_WORDS:
-            self.by_word.clear()
-        self._learn(new.difference(self.by_word))
+            self.by_word, self.older = {}, self.by_word
+        new.difference_update(self.by_word)
+        self.by_word.update((word, self.older[word]) for word in new.intersection(self.older))
+        self._learn(new.difference(self.older))
         known = self.by_word.__getitem__
         return [b"".join(map(known, found)) for found in words]
 
 
+def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in turn, in groups of about SLICE_BYTES."""
+    group: list[bytes] = []
+    held = 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held >= SLICE_BYTES:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def encoder(path: str) -> WordEncoder:
     """One encoder, and so one cache, for each worker process."""
     if path not in _ENCODERS:
@@ -134,7 +154,8 @@ def pack(
         encode = encoder(tokenizer_path).encode
         for batch in batches:
             row, start, length, ids, tokens = [], [], [], [], []
-            for i, found in enumerate(encode(as_bytes(batch.column(1)))):
+            encoded = chain.from_iterable(map(encode, slices(as_bytes(batch.column(1)))))
+            for i, found in enumerate(encoded):
                 found += end
                 total, at = len(found) // 4, 0
                 for size in binary_lengths(total, longest):

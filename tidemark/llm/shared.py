@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.session import configure, materialise
 
 #: Shuffle files go as soon as the query that wrote them is over; kept frames do not need them.
-LLM_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+LLM_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Whole texts travel in these batches; rows may be very long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
