@@ -1,0 +1,20 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from helpers import DOCUMENTS  # noqa: E402
+
+from tidemark.llm.shared import prepare  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    return prepare(spark)
+
+
+@pytest.fixture(scope="session")
+def documents(llm):
+    return lambda rows: llm.createDataFrame(rows, DOCUMENTS)

@@ -23,8 +23,10 @@ from tidemark.session import materialise
 BITS = 4
 #: Rows of a curve that are compared in one task, at most.
 BLOCK_ROWS = 4096
-#: Blocks of a curve at least, so that a window is a small number of blocks also for few rows.
+#: Blocks of a curve at least, so that a window is a part of the curve also for few rows, unless
+#: they would be smaller than LEAST_ROWS: a few rows are all compared.
 LEAST_BLOCKS = 20
+LEAST_ROWS = 64
 CUTS = 255
 
 
@@ -148,7 +150,8 @@ def nearest(
     ranked = _ranked(
         rows.select("row", "vector").mapInArrow(places, "length int, curve int, key long, row long").repartitionByRange(*order), order
     )
-    blocks = F.greatest(F.ceil(F.col("all") / BLOCK_ROWS), F.lit(LEAST_BLOCKS)).cast("long")
+    few = F.least(F.lit(LEAST_BLOCKS), F.ceil(F.col("all") / LEAST_ROWS))
+    blocks = F.greatest(F.ceil(F.col("all") / BLOCK_ROWS), few).cast("long")
     placed = materialise(
         ranked.select("row", "length", "curve", "rank", "all", blocks.alias("blocks"), F.expr("rank * blocks div all").alias("block")),
         "placed",
