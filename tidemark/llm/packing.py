@@ -7,6 +7,7 @@ is drawn from one bucket, so its sequences have one length.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain, pairwise
@@ -42,6 +43,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
+        # The tasks of an executor already use its cores; threads of the tokenizer would only wait.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
