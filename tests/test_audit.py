@@ -11,7 +11,7 @@ import pytest
 from conftest import START, candle, day, every
 from pyspark.sql import functions as F
 
-from tidemark.functions import ordered, quantiles
+from tidemark.functions import ordered
 from tidemark.operators import audit_candles as ac
 from tidemark.operators import audit_metrics as am
 from tidemark.operators import audit_universe as au
@@ -115,11 +115,10 @@ def test_missing_trades_count_is_no_zero_trades(candles):
     assert ac.row_check(candles([candle(START, trades_count=None, **FIT)]), "volume_price_inconsistency").count() == 0
 
 
-@pytest.mark.parametrize("group_rows", [None, quantiles.SMALL_GROUP_ROWS + 1])
-def test_jump_with_zero_deviation(candles, group_rows):
+def test_jump_with_zero_deviation(candles):
     closes = [100.0] * 20 + [1_000.0]
     rows = [candle(ts, close=c, high=max(101.0, c)) for ts, c in zip(every(4, 21), closes)]
-    row = ac.robust_jumps(candles(rows), group_rows=group_rows).first()
+    row = ac.robust_jumps(candles(rows)).first()
     assert row["bad_count"] == 1
     assert row["max_abs_relative_return"] == pytest.approx(9.0)
 

@@ -9,6 +9,7 @@ import pytest
 from conftest import START, candle, day, every
 from pyspark.sql import functions as F
 
+from tidemark import specs
 from tidemark.operators import gaps as gp
 from tidemark.operators import planning as pl
 from tidemark.operators import reconcile as rc
@@ -255,9 +256,9 @@ def test_repair_guards(candles):
     odd = candles([candle(START + timedelta(seconds=7)), candle(START + timedelta(hours=12))])
     assert rp.with_guards(gp.candle_gaps(odd)).first()["off_grid"]
     wide = candles([candle(START), candle(START + timedelta(hours=4 * 1_002))])
-    row = rp.with_guards(gp.candle_gaps(wide)).first()
+    row = rp.with_guards(gp.candle_gaps(wide), specs.REPAIR_ROW_LIMITS).first()
     assert row["expected_missing"] == 1_001 and row["too_large"]
-    futures = rp.with_guards(gp.candle_gaps(wide, "futures")).first()
+    futures = rp.with_guards(gp.candle_gaps(wide, "futures"), specs.REPAIR_ROW_LIMITS).first()
     assert not futures["too_large"]
 
 
@@ -308,7 +309,7 @@ def test_resample_boundary_belongs_to_its_bucket(candles):
         candle(START + timedelta(hours=h), interval="1h", open=float(h), close=h + 0.5, high=50.0 + h)
         for h in range(1, 9)
     ]
-    got = {r["timestamp"]: r for r in rs.resample(candles(rows), "4h").collect()}
+    got = {r["timestamp"]: r for r in rs.resample(candles(rows), "4h", rows[0][2]).collect()}
     first = got[START + timedelta(hours=4)]
     assert sorted(got) == [START + timedelta(hours=4), START + timedelta(hours=8)]
     assert (first["open"], first["close"], first["high"], first["volume"]) == (1.0, 4.5, 54.0, 400.0)
@@ -316,7 +317,7 @@ def test_resample_boundary_belongs_to_its_bucket(candles):
 
 def test_week_closes_on_monday(candles):
     df = candles([candle(datetime(2024, 1, 8), interval="1d"), candle(datetime(2024, 1, 9), interval="1d")])
-    closes = sorted(r["timestamp"] for r in rs.resample(df, "1w").collect())
+    closes = sorted(r["timestamp"] for r in rs.resample(df, "1w", df.first()["interval"]).collect())
     assert closes == [datetime(2024, 1, 8), datetime(2024, 1, 15)]
 
 

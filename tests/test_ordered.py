@@ -103,7 +103,7 @@ def test_exact_quantiles(spark, kind):
     }[kind]
     df = spark.createDataFrame([("g", float(v)) for v in values], "g string, v double")
     wanted = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    row = quantiles.exact_quantiles(df, ["g"], "v", wanted).first()
+    row = quantiles.quantiles(df, ["g"], "v", wanted).first()
     assert row["n"] == len(values)
     for name, p in wanted.items():
         assert row[name] == pytest.approx(np.quantile(values, p), abs=1e-12)
@@ -113,18 +113,17 @@ def test_weighted_quantiles(spark):
     pairs = [(0.5, 1), (0.0, 700), (1.5, 2), (2.5, 1), (9.0, 400)]
     expanded = np.concatenate([np.full(w, v) for v, w in pairs])
     df = spark.createDataFrame([("g", v, w) for v, w in pairs], "g string, v double, w bigint")
-    for rows in (None, 10):
-        row = quantiles.quantiles(df, ["g"], "v", {"q": 0.5, "r": 0.9}, "w", rows).first()
-        assert row["n"] == len(expanded)
-        assert row["q"] == pytest.approx(np.quantile(expanded, 0.5))
-        assert row["r"] == pytest.approx(np.quantile(expanded, 0.9))
+    row = quantiles.quantiles(df, ["g"], "v", {"q": 0.5, "r": 0.9}, "w").first()
+    assert row["n"] == len(expanded)
+    assert row["q"] == pytest.approx(np.quantile(expanded, 0.5))
+    assert row["r"] == pytest.approx(np.quantile(expanded, 0.9))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60))
 def test_quantiles_of_any_values(spark, values):
     df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
-    row = quantiles.exact_quantiles(df, ["g"], "v", {"q": 0.3}).first()
+    row = quantiles.quantiles(df, ["g"], "v", {"q": 0.3}).first()
     assert row["q"] == pytest.approx(np.quantile(values, 0.3), rel=1e-9, abs=1e-9)
 
 

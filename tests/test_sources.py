@@ -87,10 +87,27 @@ def test_missing_column_rejects_the_file(spark, folder):
     assert done.rows.count() == 0
 
 
-def test_archive_without_csv(spark, folder):
-    path = zipped(folder / "BTCUSDT-5m-2024-01.zip", "x", member="data.txt")
-    with pytest.raises(PySparkException, match="no CSV file"):
-        archives.read_zipped(spark, path, "spot").collect()
+def test_archives_without_csv_are_rejected_and_the_others_read(spark, folder):
+    zipped(folder / "BTCUSDT-5m-2024-01.zip", "x", member="data.txt")
+    (folder / "ETHUSDT-5m-2024-01.zip").write_bytes(b"no archive")
+    zipped(folder / "SOLUSDT-5m-2024-01.zip", line(START + timedelta(minutes=5)))
+    for table in ("spot", "open_interest"):
+        done = nz.normalise(archives.read_zipped(spark, str(folder), "spot"), table)
+        reasons = {r["file"].rsplit("/", 1)[1][:3]: r["reason"] for r in done.rejected.collect()}
+        assert reasons["BTC"] == reasons["ETH"] == "no CSV lines"
+    assert nz.normalise(archives.read_zipped(spark, str(folder), "spot"), "spot").rows.count() == 1
+
+
+def test_findings_are_lines_or_one_array_and_nothing_else(spark, folder):
+    record = '{"severity": "WARN", "table": "spot", "check_name": "c", "message": "m", "count": 2}'
+    for name, text in (("lines", f"{record}\n{record}"), ("array", f"[{record},\n{record}]")):
+        (folder / name).mkdir()
+        (folder / name / "part.json").write_text(text)
+        assert [r["count"] for r in reports.read_findings(spark, str(folder / name)).collect()] == [2, 2]
+    (folder / "broken").mkdir()
+    (folder / "broken" / "part.json").write_text(record + "\n{broken")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        reports.read_findings(spark, str(folder / "broken")).collect()
 
 
 def test_plain_files_keep_line_order(spark, folder):
@@ -193,6 +210,51 @@ def test_store_inserts_once_and_replaces_days(spark, folder, candles):
     assert "PartitionFilters: [isnotnull(interval" in plan and "EqualTo(symbol,BTCUSDT)" in plan
 
 
+def two_symbols(candles):
+    january = [candle(ts, "AAAUSDT", "1h") for ts in every(1, 23, START + timedelta(days=30, hours=1))]
+    february = [candle(ts, "BBBUSDT", "1h") for ts in every(1, 19, START + timedelta(days=40))]
+    return candles(january + february)
+
+
+def test_a_stray_row_keeps_the_other_rows_of_its_month(spark, folder, candles):
+    root = str(folder)
+    assert tables.insert_new(spark, root, "spot", two_symbols(candles)) == 42
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        stray = candles([candle(START + timedelta(days=31, hours=1), "AAAUSDT", "1h")])
+        days = spark.createDataFrame([("AAAUSDT", "1h", day("2024-01-31"))], "symbol string, interval string, day date")
+        tables.replace_days(spark, root, "spot", stray, days)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    stored = tables.read_table(spark, root, "spot")
+    assert stored.where("symbol = 'BBBUSDT'").count() == 19
+    assert stored.where("symbol = 'AAAUSDT'").count() == 1
+
+
+def test_writes_enforce_keys_and_rules(spark, folder, candles, ranking):
+    root = str(folder)
+    rows = two_symbols(candles)
+    tables.insert_new(spark, root, "spot", rows)
+    days = spark.createDataFrame([("AAAUSDT", "1h", day("2024-01-31"))], "symbol string, interval string, day date")
+    fresh = rows.where("symbol = 'AAAUSDT'")
+    for bad in (
+        fresh.unionByName(fresh.limit(1)),
+        fresh.unionByName(rows.where("symbol = 'BBBUSDT'").limit(1)),
+        fresh.withColumn("close", F.lit(-1.0)),
+        fresh.withColumn("volume", F.lit("many")),
+        fresh.drop("open"),
+    ):
+        with pytest.raises(ContractError):
+            tables.replace_days(spark, root, "spot", bad, days)
+    with pytest.raises(ContractError):
+        tables.insert_new(spark, root, "spot", candles([candle(START, open=None)]))
+    assert tables.read_table(spark, root, "spot").count() == 42
+    jan = day("2024-01-01")
+    with pytest.raises(ContractError):
+        twice = ranking([(jan, "BTC", 1, 9.0, "", 1), (jan, "ETH", 1, 8.0, "", 2)])
+        tables.replace_dates(spark, root, twice, spark.createDataFrame([(jan,)], "date date"))
+
+
 def test_replacing_a_date_with_nothing_empties_it(spark, folder, ranking):
     root = str(folder)
     jan, feb = day("2024-01-01"), day("2025-02-01")

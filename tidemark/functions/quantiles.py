@@ -1,11 +1,9 @@
 """Exact continuous quantiles and group statistics that survive very large groups.
 
-Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer, which
-is the fastest way while the largest group is known to be small. ``quantiles`` takes that
-measured size and otherwise turns to ``exact_quantiles``: a bounded sketch proposes cut points
-around each wanted rank, the cells between the cut points are counted exactly, and only the
-cells that contain a wanted rank are sorted. The sketch decides how much is sorted, never what
-the answer is.
+A bounded sketch proposes cut points around each wanted rank, the cells between the cut points are
+counted exactly, and only the cells that contain a wanted rank are sorted, after their equal
+values have been put together. The sketch decides how much is sorted, never what the answer is.
+There is one way for groups of every size.
 """
 
 from __future__ import annotations
@@ -18,7 +16,6 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 10_000
 BRACKET = 0.001
 WEIGHTED_MARKS = 32
-SMALL_GROUP_ROWS = 1_000_000
 SALTS = 64
 
 
@@ -42,39 +39,12 @@ def join_group_stats(
     return salted_rows.join(salted_stats, [*keys, "_salt"], how).drop("_salt")
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group: one map-side combined count, one number to the driver."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-
-
 def quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probabilities: Mapping[str, float],
     weight: str | None = None,
-    group_rows: int | None = None,
-) -> DataFrame:
-    """Exact quantiles per group; ``group_rows`` is a measured bound on the largest group."""
-    if group_rows is None or group_rows > SMALL_GROUP_ROWS:
-        return exact_quantiles(df, keys, value, probabilities, weight)
-    copies = F.lit(1) if weight is None else F.col(weight)
-    at = F.percentile(value, list(probabilities.values()), copies)
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys)
-        .agg(F.sum(copies).cast("bigint").alias("n"), at.alias("_at"))
-        .select(*keys, "n", *[F.col("_at")[i].alias(q) for i, q in enumerate(probabilities)])
-    )
-
-
-def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probabilities: Mapping[str, float],
-    weight: str | None = None,
 ) -> DataFrame:
     """One row per group: ``keys``, the number of values ``n`` and the named quantiles.
 

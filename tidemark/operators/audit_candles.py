@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import specs
 from tidemark.functions.ordered import runs_of, time_slice, with_previous
 from tidemark.functions.quantiles import (
-    SMALL_GROUP_ROWS,
     join_group_stats,
-    largest_group,
     quantiles,
 )
 from tidemark.functions.scalars import (
@@ -34,6 +32,7 @@ from tidemark.session import materialise
 
 SERIES = ("exchange", "symbol", "interval")
 REPORT = ("symbol", "interval")
+# Names of the volume checks in reports (fixed values).
 VOLUME_FLAGS = (
     "positive_volume_zero_quote",
     "positive_quote_zero_volume",
@@ -308,16 +307,13 @@ def return_outliers(
     )
 
 
-def return_deviations(returns: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
+def return_deviations(returns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Returns with their distance from the series median, and the median distance itself."""
-    large = group_rows > SMALL_GROUP_ROWS
-    medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight", group_rows)
-    if large:
-        medians = materialise(medians, "return-medians")
+    medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight")
     deviations = join_group_stats(returns, medians, REPORT, ["timestamp"]).withColumn(
         "abs_deviation", F.abs(F.col("log_return") - F.col("median"))
     )
-    mads = quantiles(deviations, REPORT, "abs_deviation", {"mad": 0.5}, "weight", group_rows)
+    mads = quantiles(deviations, REPORT, "abs_deviation", {"mad": 0.5}, "weight")
     return deviations, mads.drop("n")
 
 
@@ -337,21 +333,16 @@ def is_robust_jump(config: specs.AuditConfig) -> Column:
 def robust_jumps(
     df: DataFrame,
     config: specs.AuditConfig | None = None,
-    group_rows: int | None = None,
     returns: DataFrame | None = None,
 ) -> DataFrame:
     """Price jumps judged by the median absolute deviation of the series' log returns.
 
-    ``group_rows`` bounds the largest series. Beyond the size that ``percentile`` takes in
-    memory the returns are stored once, since the distributed quantiles read them repeatedly.
+    The returns are stored once, narrow, since the quantiles read them repeatedly.
     """
     config = config or specs.AuditConfig()
-    bound = largest_group(df, REPORT) if group_rows is None else group_rows
     if returns is None:
-        returns = close_returns(df)
-        if bound > SMALL_GROUP_ROWS:
-            returns = materialise(returns, "close-returns")
-    deviations, mads = return_deviations(returns, bound)
+        returns = materialise(close_returns(df), "close-returns")
+    deviations, mads = return_deviations(returns)
     return (
         join_group_stats(deviations, mads, REPORT, ["timestamp"])
         .where(is_robust_jump(config))
@@ -366,13 +357,13 @@ def robust_jumps(
     )
 
 
-def volume_bounds(df: DataFrame, config: specs.AuditConfig, group_rows: int) -> DataFrame:
+def volume_bounds(df: DataFrame, config: specs.AuditConfig) -> DataFrame:
     """Accepted volume range per series, only where the quartiles carry information."""
     rows = df.where(positive("volume"))
     iqr = F.col("q3") - F.col("q1")
     margin = config.volume_iqr_multiplier * iqr
     return (
-        quantiles(rows, REPORT, "volume", {"q1": 0.25, "q3": 0.75}, group_rows=group_rows)
+        quantiles(rows, REPORT, "volume", {"q1": 0.25, "q3": 0.75})
         .where((F.col("n") >= config.min_outlier_observations) & (iqr > 0))
         .select(
             *REPORT,
@@ -382,17 +373,14 @@ def volume_bounds(df: DataFrame, config: specs.AuditConfig, group_rows: int) ->
     )
 
 
-def volume_outliers(
-    df: DataFrame, config: specs.AuditConfig | None = None, group_rows: int | None = None
-) -> DataFrame:
+def volume_outliers(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
     config = config or specs.AuditConfig()
-    bound = largest_group(df, REPORT) if group_rows is None else group_rows
     rows = df.where(positive("volume")).select(*REPORT, "timestamp", "volume")
     outside = (F.col("volume") < F.col("volume_floor")) | (
         F.col("volume") > F.col("volume_ceiling")
     )
     return (
-        join_group_stats(rows, volume_bounds(df, config, bound), REPORT, ["timestamp"])
+        join_group_stats(rows, volume_bounds(df, config), REPORT, ["timestamp"])
         .where(outside)
         .groupBy(*REPORT)
         .agg(
@@ -535,7 +523,6 @@ def audit_candles(
     """Findings of all candle checks for one table."""
     config = config or specs.AuditConfig()
     rows = scan(df, symbols, intervals)
-    group_rows = largest_group(rows, REPORT)
     # Ordered once and stored narrow; the two return checks read it five times.
     returns = materialise(close_returns(rows), "close-returns")
     limits = {
@@ -571,7 +558,7 @@ def audit_candles(
             ["max_abs_log_return"],
         ),
         to_findings(
-            robust_jumps(rows, config, group_rows, returns).withColumns(
+            robust_jumps(rows, config, returns).withColumns(
                 {k: limits[k] for k in ("absolute_return_threshold", "mad_multiplier")}
             ),
             table,
@@ -586,7 +573,7 @@ def audit_candles(
             ],
         ),
         to_findings(
-            volume_outliers(rows, config, group_rows),
+            volume_outliers(rows, config),
             table,
             "volume_outliers",
             "WARN",

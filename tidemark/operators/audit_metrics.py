@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.quantiles import (
-    SMALL_GROUP_ROWS,
     join_group_stats,
-    largest_group,
     quantiles,
 )
 from tidemark.functions.scalars import positive, present
@@ -46,20 +44,19 @@ def metric_value_errors(df: DataFrame, value: str, must_be_positive: bool) -> Da
     )
 
 
-def open_interest_changes(
-    df: DataFrame, config: specs.AuditConfig | None = None, group_rows: int | None = None
-) -> DataFrame:
+def open_interest_changes(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
     """Relative changes far above the upper quartile of the series."""
     config = config or specs.AuditConfig()
-    bound = largest_group(df, REPORT) if group_rows is None else group_rows
     changes = changes_of(
         df, "open_interest", SERIES, F.lit(specs.OPEN_INTEREST_SECONDS)
     ).withColumn("relative_change", F.abs("relative_return"))
-    if bound > SMALL_GROUP_ROWS:
-        changes = materialise(changes, "open-interest-changes")
+    # Stored once, narrow: the quantiles and the comparison below read them.
+    changes = materialise(
+        changes.select(*REPORT, "timestamp", "relative_change", "weight"), "open-interest-changes"
+    )
     iqr = F.col("q3") - F.col("q1")
     limits = (
-        quantiles(changes, REPORT, "relative_change", {"q1": 0.25, "q3": 0.75}, "weight", bound)
+        quantiles(changes, REPORT, "relative_change", {"q1": 0.25, "q3": 0.75}, "weight")
         .where((F.col("n") >= config.min_outlier_observations) & (iqr > 0))
         .select(
             *REPORT,

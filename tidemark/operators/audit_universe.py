@@ -119,14 +119,17 @@ def missing_snapshots(df: DataFrame, config: specs.AuditConfig) -> DataFrame:
     expected = calendar(snapshot_bounds(df, config), config.universe_frequency)
     observed = within_bounds(df, config).select("date").distinct()
     missing = expected.join(observed, "date", "left_anti")
-    # The calendar has one row per day at most: decades are thousands of dates.
+    totals = missing.agg(
+        F.count("*").alias("bad_count"),
+        F.min("date").alias("first_timestamp"),
+        F.max("date").alias("last_timestamp"),
+    )
+    first = missing.orderBy("date").limit(SAMPLE).agg(
+        F.sort_array(F.collect_list("date")).alias("sample_missing_dates")
+    )
+    # One row on either side.
     return (
-        missing.agg(
-            F.count("*").alias("bad_count"),
-            F.min("date").alias("first_timestamp"),
-            F.max("date").alias("last_timestamp"),
-            F.slice(F.sort_array(F.collect_list("date")), 1, SAMPLE).alias("sample_missing_dates"),
-        )
+        totals.crossJoin(first)
         .where(F.col("bad_count") > 0)
         .withColumn("frequency", F.lit(config.universe_frequency))
     )
@@ -260,6 +263,7 @@ def rank_order(df: DataFrame) -> DataFrame:
     )
 
 
+# Text of the report (fixed value).
 COVERAGE_NOTE = (
     "This can be expected when excluded assets occupy the highest requested ranks; "
     "investigate if the gap is large or unexpected."

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.ordered import time_slice, with_trailing
-from tidemark.functions.quantiles import join_group_stats, largest_group, quantiles
+from tidemark.functions.quantiles import join_group_stats, quantiles
 from tidemark.functions.scalars import holds, positive, seconds_between
 from tidemark.operators.audit_candles import (
     MAD_SCALE,
@@ -27,13 +27,10 @@ from tidemark.operators.audit_candles import (
 from tidemark.session import materialise
 
 
-def candle_diagnostics(
-    df: DataFrame, config: specs.AuditConfig | None = None, group_rows: int | None = None
-) -> DataFrame:
+def candle_diagnostics(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
     """Candles with previous time, distance, returns, shape, alignment and all outlier flags."""
     config = config or specs.AuditConfig()
     columns = specs.CANDLE_SCHEMA.fieldNames()
-    bound = largest_group(df, REPORT) if group_rows is None else group_rows
     distinct = df.select(*columns).groupBy(*columns).agg(F.count("*").alias("copies"))
     flagged = candle_flags(distinct, config)
     order = ["timestamp", "close", *[c for c in columns if c not in (*SERIES, "timestamp", "close")]]
@@ -76,7 +73,7 @@ def candle_diagnostics(
     )
     # Stored once: the statistics below read the ordered rows several times.
     rows = materialise(rows, "candle-diagnostics")
-    with_stats = _with_return_stats(rows, df, config, bound)
+    with_stats = _with_return_stats(rows, df, config)
     return _with_stale_runs(with_stats, df, config)
 
 
@@ -104,22 +101,22 @@ def _with_previous_valid(rows: DataFrame, order: list[str], slices: Column) -> D
 
 
 def _with_return_stats(
-    rows: DataFrame, df: DataFrame, config: specs.AuditConfig, bound: int
+    rows: DataFrame, df: DataFrame, config: specs.AuditConfig
 ) -> DataFrame:
     returns = rows.where(F.col("log_return").isNotNull()).select(
         *REPORT, "timestamp", "log_return", F.col("copies").alias("weight")
     )
     moments = weighted_moments(returns, REPORT, "log_return").withColumnRenamed("n", "n_returns")
-    medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight", bound)
+    medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight")
     deviations = join_group_stats(returns, medians.drop("n"), REPORT, ["timestamp"]).withColumn(
         "abs_deviation", F.abs(F.col("log_return") - F.col("median"))
     )
-    mads = quantiles(deviations, REPORT, "abs_deviation", {"mad": 0.5}, "weight", bound)
+    mads = quantiles(deviations, REPORT, "abs_deviation", {"mad": 0.5}, "weight")
     stats = (
         moments.join(medians.drop("n"), list(REPORT), "left")
         .join(mads.drop("n"), list(REPORT), "left")
     )
-    volumes = volume_bounds(df, config, bound)
+    volumes = volume_bounds(df, config)
     stats = stats.join(volumes, list(REPORT), "full")
     far = F.abs(F.col("log_return") - F.col("mean")) > config.price_return_sigma * F.col("std")
     enough = F.col("n_returns") >= config.min_outlier_observations

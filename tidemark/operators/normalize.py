@@ -17,6 +17,8 @@ from tidemark.functions.quantiles import join_group_stats
 from tidemark.functions.scalars import ntz_from_micros, ntz_from_seconds
 from tidemark.operators import upsert
 
+#: Fields of a row whose text could not be read; ``validate`` reports each as a broken type.
+UNREADABLE = "_uncastable"
 FILE_COLUMNS = ("file", "symbol", "interval", "period")
 PRICE_COLUMNS = (
     "open",
@@ -38,7 +40,7 @@ TIME_COLUMN = {"kline": "close_time", "open_interest": "create_time", "funding_r
 
 @dataclass(frozen=True)
 class Normalised:
-    """Typed rows (with ``file`` and ``line_no``), anomalies and files that cannot be read."""
+    """Typed rows (with ``file``, ``line_no`` and unreadable fields), anomalies, rejected files."""
 
     rows: DataFrame
     anomalies: DataFrame
@@ -64,8 +66,10 @@ def file_layouts(lines: DataFrame, table: str) -> DataFrame:
         has_header = F.lit(True)
         names = F.split("_first", ",")
     required = F.array(*[F.lit(c) for c in REQUIRED[kind]])
+    # A file without any line, such as an archive without a CSV member, has no columns at all.
+    names = F.when(F.col("_first").isNotNull(), names).otherwise(F.array().cast("array<string>"))
     return (
-        first.withColumn("has_header", has_header)
+        first.withColumn("has_header", F.coalesce(has_header, F.lit(True)))
         .withColumn("names", F.transform(names, lambda n: F.regexp_replace(F.trim(n), "\r$", "")))
         .withColumn("missing_columns", F.array_except(required, F.col("names")))
         .select("file", "_first_no", "has_header", "names", "missing_columns")
@@ -83,6 +87,17 @@ def _field(*names: str) -> Column:
     return F.when(~F.lower(text).isin("", "nan", "null", "none"), text)
 
 
+def _unreadable(texts: dict[str, Column], types: dict[str, str]) -> Column:
+    """Names of the fields that hold text which their type cannot read."""
+    lost = [
+        F.when(text.isNotNull() & _integer(text).try_cast("int").isNull(), F.lit(name))
+        if types[name] == "int"
+        else F.when(text.isNotNull() & text.try_cast(types[name]).isNull(), F.lit(name))
+        for name, text in texts.items()
+    ]
+    return F.filter(F.array(*lost), lambda c: c.isNotNull())
+
+
 def _integer(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), text.try_cast("double").cast("bigint"))
 
@@ -97,7 +112,10 @@ def split_lines(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
         & (F.trim("line") != "")
     ).withColumn("_fields", F.split(F.regexp_replace("line", "\r$", ""), ","))
     rejected = layouts.where(F.size("missing_columns") > 0).select(
-        "file", "missing_columns", F.col("names").alias("available_columns")
+        "file",
+        "missing_columns",
+        F.col("names").alias("available_columns"),
+        F.when(F.size("names") == 0, "no CSV lines").otherwise("missing columns").alias("reason"),
     )
     return data, rejected
 
@@ -124,12 +142,16 @@ def _file_units(rows: DataFrame) -> DataFrame:
 def candle_rows(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Typed candle rows before deduplication, and rejected files."""
     data, rejected = split_lines(lines, table)
+    trades = _field("trades_count", "count")
+    texts = {name: _field(name) for name in PRICE_COLUMNS}
+    kinds = dict.fromkeys(PRICE_COLUMNS, "double") | {"trades_count": "int"}
     parsed = data.select(
         *FILE_COLUMNS,
         "line_no",
         _integer(_field("close_time")).alias("_epoch"),
-        *[_field(name).try_cast("double").alias(name) for name in PRICE_COLUMNS],
-        _integer(_field("trades_count", "count")).cast("int").alias("trades_count"),
+        *[text.try_cast("double").alias(name) for name, text in texts.items()],
+        _integer(trades).try_cast("int").alias("trades_count"),
+        _unreadable(texts | {"trades_count": trades}, kinds).alias(UNREADABLE),
     )
     timed = join_group_stats(parsed, _file_units(parsed), ["file"], ["line_no"])
     rows = timed.withColumns(
@@ -137,7 +159,7 @@ def candle_rows(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
             "exchange": F.lit(specs.EXCHANGE),
             "timestamp": ceil_to_second(epoch_to_micros(F.col("_epoch"), F.col("in_micros"))),
         }
-    ).select("file", "period", "line_no", *specs.CANDLE_SCHEMA.fieldNames())
+    ).select("file", "period", "line_no", *specs.CANDLE_SCHEMA.fieldNames(), UNREADABLE)
     return rows, rejected
 
 
@@ -158,6 +180,7 @@ def metric_rows(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
         text.alias("_text"),
         _integer(text).alias("_epoch"),
         _field(source).try_cast("double").alias(value),
+        _unreadable({value: _field(source)}, {value: "double"}).alias(UNREADABLE),
     )
     timed = join_group_stats(parsed, _file_units(parsed), ["file"], ["line_no"])
     stamp = ntz_from_micros(epoch_to_micros(F.col("_epoch"), F.col("in_micros")))
@@ -166,7 +189,7 @@ def metric_rows(lines: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
             F.col("_text").try_cast("timestamp_ntz")
         )
     rows = timed.withColumns({"exchange": F.lit(specs.EXCHANGE), "timestamp": stamp}).select(
-        "file", "period", "line_no", *specs.table_spec(table).columns
+        "file", "period", "line_no", *specs.table_spec(table).columns, UNREADABLE
     )
     return rows, rejected
 
@@ -251,12 +274,66 @@ def normalise(
 # ---------------------------------------------------------------------------
 # Payloads of request-based sources
 # ---------------------------------------------------------------------------
+CANDLE_PAYLOAD = "array<array<string>>"
+FUNDING_PAYLOAD = "array<struct<fundingTime:string,fundingRate:string>>"
+PAYLOAD_REASONS = ("not a JSON array of records", "record with missing fields", "unreadable field")
+
+
+def _payload_items(payloads: DataFrame, table: str) -> DataFrame:
+    """Payloads with their parsed records and the reason why they cannot be taken, if any.
+
+    A payload is taken as a whole or not at all, like a file.
+    """
+    kline = specs.table_spec(table).kind == "kline"
+    parsed = payloads.withColumn("_items", F.from_json("payload", CANDLE_PAYLOAD if kline else FUNDING_PAYLOAD))
+
+    def unlike(text: Column, kind: str) -> Column:
+        return text.isNotNull() & text.try_cast(kind).isNull()
+
+    if kline:
+        names = specs.CANDLE_FILE_COLUMNS
+
+        def short(item: Column) -> Column:
+            return item.isNull() | (F.size(item) < len(names) - 1)
+
+        def odd(item: Column) -> Column:
+            at = {name: F.get(item, F.lit(names.index(name))) for name in (*PRICE_COLUMNS, "close_time", "trades_count")}
+            found = at["close_time"].try_cast("bigint").isNull() | unlike(at["trades_count"], "int")
+            for name in PRICE_COLUMNS:
+                found = found | unlike(at[name], "double")
+            return found
+
+    else:
+
+        def short(item: Column) -> Column:
+            return item.isNull() | item["fundingTime"].isNull()
+
+        def odd(item: Column) -> Column:
+            return item["fundingTime"].try_cast("bigint").isNull() | unlike(item["fundingRate"], "double")
+
+    reason = (
+        F.when(F.col("_items").isNull(), PAYLOAD_REASONS[0])
+        .when(F.exists("_items", short), PAYLOAD_REASONS[1])
+        .when(F.exists("_items", odd), PAYLOAD_REASONS[2])
+    )
+    return parsed.withColumn("reason", reason)
+
+
+def rejected_payloads(payloads: DataFrame, table: str) -> DataFrame:
+    """The payloads that cannot be taken, with the reason, without their text."""
+    broken = _payload_items(payloads, table).where(F.col("reason").isNotNull())
+    return broken.select(*[c for c in payloads.columns if c != "payload"], "reason")
+
+
 def candle_payload_rows(payloads: DataFrame) -> DataFrame:
-    """Rows from (symbol, interval, payload) where payload is a JSON array of 12-element arrays."""
-    items = payloads.select(
-        "symbol",
-        "interval",
-        F.posexplode(F.from_json("payload", "array<array<string>>")).alias("_pos", "_a"),
+    """Rows from (symbol, interval, payload) where payload is a JSON array of 12-element arrays.
+
+    Payloads that cannot be read are left to ``rejected_payloads``.
+    """
+    items = (
+        _payload_items(payloads, "spot")
+        .where(F.col("reason").isNull())
+        .select("symbol", "interval", F.posexplode("_items").alias("_pos", "_a"))
     )
 
     def item(name: str) -> Column:
@@ -266,9 +343,9 @@ def candle_payload_rows(payloads: DataFrame) -> DataFrame:
         F.lit(specs.EXCHANGE).alias("exchange"),
         "symbol",
         "interval",
-        ceil_to_second((item("close_time").cast("bigint") + 1) * 1_000).alias("timestamp"),
-        *[item(name).cast("double").alias(name) for name in PRICE_COLUMNS],
-        item("trades_count").cast("int").alias("trades_count"),
+        ceil_to_second((item("close_time").try_cast("bigint") + 1) * 1_000).alias("timestamp"),
+        *[item(name).try_cast("double").alias(name) for name in PRICE_COLUMNS],
+        item("trades_count").try_cast("int").alias("trades_count"),
         F.col("_pos").alias("_pos"),
     )
     keys = specs.TABLES["spot"].primary_key
@@ -276,16 +353,21 @@ def candle_payload_rows(payloads: DataFrame) -> DataFrame:
 
 
 def funding_payload_rows(payloads: DataFrame) -> DataFrame:
-    """Rows from (symbol, payload) where payload is a JSON array of funding objects."""
-    shape = "array<struct<fundingTime:bigint,fundingRate:string>>"
-    rows = payloads.select(
-        "symbol", F.posexplode(F.from_json("payload", shape)).alias("_pos", "_o")
-    ).select(
-        F.lit(specs.EXCHANGE).alias("exchange"),
-        "symbol",
-        ntz_from_micros(F.col("_o.fundingTime") * 1_000).alias("timestamp"),
-        F.col("_o.fundingRate").cast("double").alias("funding_rate"),
-        "_pos",
+    """Rows from (symbol, payload) where payload is a JSON array of funding objects.
+
+    Payloads that cannot be read are left to ``rejected_payloads``.
+    """
+    rows = (
+        _payload_items(payloads, "funding_rates")
+        .where(F.col("reason").isNull())
+        .select("symbol", F.posexplode("_items").alias("_pos", "_o"))
+        .select(
+            F.lit(specs.EXCHANGE).alias("exchange"),
+            "symbol",
+            ntz_from_micros(F.col("_o.fundingTime").try_cast("bigint") * 1_000).alias("timestamp"),
+            F.col("_o.fundingRate").try_cast("double").alias("funding_rate"),
+            "_pos",
+        )
     )
     keys = specs.TABLES["funding_rates"].primary_key
     return upsert.keep_first(rows, keys, ["_pos"]).select(*specs.FUNDING_SCHEMA.fieldNames())

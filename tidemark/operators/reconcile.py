@@ -36,6 +36,35 @@ UNIVERSE_TOLERANCES = {
 }
 
 
+def _side_by_side(stored: DataFrame, source: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """One row for each key of either side, with the fields of both as structs."""
+
+    def one(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias(name))
+
+    return one(stored, "_stored").join(one(source, "_source"), keys, "full_outer")
+
+
+def skipped(
+    stored: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    tolerances: Mapping[str, Tolerance],
+) -> DataFrame:
+    """Per field the keys on both sides whose values could not be compared."""
+    joined = _side_by_side(stored, source, list(keys), list(tolerances)).where(
+        F.col("_stored").isNotNull() & F.col("_source").isNotNull()
+    )
+    counts = [
+        F.struct(
+            F.lit(field).alias("field"),
+            F.count_if(F.col("_stored")[field].isNull() | F.col("_source")[field].isNull()).alias("skipped"),
+        )
+        for field in tolerances
+    ]
+    return joined.agg(F.array(*counts).alias("_all")).select(F.inline("_all"))
+
+
 def reconcile(
     stored: DataFrame,
     source: DataFrame,
@@ -44,12 +73,11 @@ def reconcile(
 ) -> DataFrame:
     """Every difference between two copies: rows on one side only, and fields out of tolerance.
 
-    Fields missing on either side are skipped, as there is nothing to compare.
+    Fields missing on either side are skipped, as there is nothing to compare; ``skipped`` counts
+    them. Of rows that share a key on one side the smallest by value is compared.
     """
-    keys, fields = list(keys), list(tolerances)
-    left = stored.select(*keys, F.struct(*fields).alias("_stored"))
-    right = source.select(*keys, F.struct(*fields).alias("_source"))
-    joined = left.join(right, keys, "full_outer")
+    keys = list(keys)
+    joined = _side_by_side(stored, source, keys, list(tolerances))
     one_sided = F.struct(
         F.lit("row").alias("field"),
         F.lit(None).cast("double").alias("stored_value"),
@@ -106,9 +134,57 @@ def open_times(candles: DataFrame) -> DataFrame:
     )
 
 
-def random_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """``n`` random rows in one pass: every task keeps its own best n."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def key_hash(seed: int, keys: Sequence[Column]) -> Column:
+    """40 bits of the MD5 of seed and keys as text, the same on any cluster and in any SQL engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[key.cast("string") for key in keys])
+    return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("bigint")
+
+
+SAMPLE_KEYS = ("exchange", "symbol", "interval", "timestamp")
+HASH_BITS = 40
+CELL_BITS = 12
+
+
+def _columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Keys as numbers or text; times count in microseconds."""
+    return [epoch_micros(k) if df.schema[k].dataType.typeName().startswith("timestamp") else F.col(k) for k in keys]
+
+
+def _smallest_hashes(df: DataFrame, group: Sequence[str], take: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the smallest ``_hash`` of each group, as many as ``take`` (group, _take) says.
+
+    Counts of hash ranges give the range in which a group's share ends. Only the rows of that one
+    range are ordered; those of the ranges below are taken as they are.
+    """
+    cell = F.shiftright("_hash", HASH_BITS - CELL_BITS)
+    wanted = df.withColumn("_cell", cell).join(take, list(group))
+    sizes = wanted.groupBy(*group, "_cell").agg(F.count("*").alias("_size"), F.first("_take").alias("_take"))
+    # At most 2 ** CELL_BITS rows for each group.
+    before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (
+        sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .where((F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_before") + F.col("_size")))
+        .select(*group, F.col("_cell").alias("_end"), (F.col("_take") - F.col("_before")).alias("_left"))
+    )
+    near = wanted.join(ends, list(group), "left")
+    whole = near.where(F.col("_end").isNull() | (F.col("_cell") < F.col("_end")))
+    in_cell = Window.partitionBy(*group).orderBy("_hash", *keys)
+    part = (
+        near.where(F.col("_cell") == F.col("_end"))
+        .withColumn("_pos", F.row_number().over(in_cell))
+        .where(F.col("_pos") <= F.col("_left"))
+        .drop("_pos")
+    )
+    return whole.unionByName(part)
+
+
+def random_rows(
+    df: DataFrame, n: int, seed: int = 0, keys: Sequence[str] = SAMPLE_KEYS
+) -> DataFrame:
+    """``n`` rows (all, if fewer) by hash of their keys: the same seed gives the same rows."""
+    hashed = df.withColumns({"_hash": key_hash(seed, _columns(df, keys)), "_all": F.lit(0)})
+    take = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(n).cast("bigint").alias("_take"))
+    return _smallest_hashes(hashed, ["_all"], take, keys).select(*df.columns)
 
 
 def stratified_rows(
@@ -116,7 +192,7 @@ def stratified_rows(
     ratio: float,
     max_symbols: int,
     seed: int = 0,
-    keys: Sequence[str] = ("exchange", "symbol", "interval", "timestamp"),
+    keys: Sequence[str] = SAMPLE_KEYS,
 ) -> DataFrame:
     """Sample a share of the rows of up to ``max_symbols`` symbols, split evenly over them.
 
@@ -128,12 +204,11 @@ def stratified_rows(
         raise ValueError(f"ratio must lie in (0, 1], got {ratio}")
     if max_symbols <= 0:
         raise ValueError(f"max_symbols must be positive, got {max_symbols}")
-    hashed = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 40))
     counts = df.groupBy("symbol").agg(F.count("*").alias("_rows"))
-    chosen = counts.orderBy(F.xxhash64(F.lit(seed), "symbol"), "symbol").limit(max_symbols)
+    chosen = counts.orderBy(key_hash(seed, [F.col("symbol")]), "symbol").limit(max_symbols)
     # At most max_symbols rows from here on.
     everything = Window.partitionBy(F.lit(1))
-    order = Window.partitionBy(F.lit(1)).orderBy(F.xxhash64(F.lit(seed + 1), "symbol"), "symbol")
+    order = Window.partitionBy(F.lit(1)).orderBy(key_hash(seed + 1, [F.col("symbol")]), "symbol")
     budget = (
         chosen.withColumn(
             "_target", F.greatest(F.lit(1), F.floor(F.sum("_rows").over(everything) * ratio))
@@ -151,26 +226,5 @@ def stratified_rows(
         )
         .select("symbol", "_take")
     )
-    cells = 4_096
-    cell = F.floor(F.col("_hash") / ((1 << 40) / cells)).cast("int")
-    wanted = (
-        df.withColumn("_hash", hashed).withColumn("_cell", cell).join(F.broadcast(budget), "symbol")
-    )
-    sizes = wanted.groupBy("symbol", "_cell").agg(
-        F.count("*").alias("_size"), F.first("_take").alias("_take")
-    )
-    before = (
-        Window.partitionBy("symbol").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    left = (
-        sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .where(F.col("_before") < F.col("_take"))
-        .select("symbol", "_cell", (F.col("_take") - F.col("_before")).alias("_left"))
-    )
-    in_cell = Window.partitionBy("symbol", "_cell").orderBy("_hash", *keys)
-    return (
-        wanted.join(left, ["symbol", "_cell"])
-        .withColumn("_pos", F.row_number().over(in_cell))
-        .where(F.col("_pos") <= F.col("_left"))
-        .select(*df.columns)
-    )
+    hashed = df.withColumn("_hash", key_hash(seed, _columns(df, keys)))
+    return _smallest_hashes(hashed, ["symbol"], budget, keys).select(*df.columns)

@@ -6,7 +6,7 @@ guards and validation are columns, and only absent keys are left to insert.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,14 +52,18 @@ def table_gaps(
     return metric_gaps(df, table, symbols=symbols)
 
 
-def with_guards(gaps: DataFrame) -> DataFrame:
-    """Add the number of missing keys and the reasons that make a gap unrecoverable."""
+def with_guards(gaps: DataFrame, row_limits: Mapping[str, int] | None = None) -> DataFrame:
+    """Add the number of missing keys and the reasons that make a gap unrecoverable.
+
+    ``row_limits`` gives the rows that a table's source hands out at once, such as the page of a
+    network API (``specs.REPAIR_ROW_LIMITS``). By default a source has no such limit.
+    """
     step_us = F.col("expected_seconds") * 1_000_000
     start, end = epoch_micros("prev_close"), epoch_micros("next_close")
     missing = expected_count(F.col("prev_close"), F.col("next_close"), F.col("expected_seconds"))
     candle = F.col("table") != "funding_rates"
     limit = F.lit(None).cast("bigint")
-    for name, rows in specs.REPAIR_ROW_LIMITS.items():
+    for name, rows in (row_limits or {}).items():
         limit = F.when(F.col("table") == name, F.lit(rows)).otherwise(limit)
     # Whole milliseconds decide, as in the sources the keys come from.
     off_grid = (F.floor(start / 1_000) % (F.col("expected_seconds") * 1_000) != 0) | (
@@ -71,7 +75,9 @@ def with_guards(gaps: DataFrame) -> DataFrame:
         {
             "expected_missing": missing,
             "off_grid": candle & off_grid,
-            "too_large": F.when(candle, ~off_grid & (missing > limit)).otherwise(too_wide),
+            "too_large": F.coalesce(
+                F.when(candle, ~off_grid & (missing > limit)).otherwise(too_wide), F.lit(False)
+            ),
         }
     )
 
@@ -145,10 +151,11 @@ def repair(
     table: str,
     symbols: Sequence[str] | None = None,
     intervals: Sequence[str] | None = None,
+    row_limits: Mapping[str, int] | None = None,
 ) -> Repair:
     """Fill the gaps of ``target`` from ``backfill``; nothing is written."""
     spec = specs.table_spec(table)
-    gaps = with_guards(table_gaps(target, table, symbols, intervals))
+    gaps = with_guards(table_gaps(target, table, symbols, intervals), row_limits)
     named = source_symbols(gaps, backfill, table)
     fetched = rows_in_gaps(named.where(~F.col("off_grid") & ~F.col("too_large")), backfill, table)
     # One row of a gap that breaks the contract rejects what was found for that gap.

@@ -39,19 +39,24 @@ def bucket_close(ts: Column | str, interval: str) -> Column:
     return ntz_from_seconds(number * width + shift)
 
 
-def resample(df: DataFrame, interval: str) -> DataFrame:
-    """Candles of a coarser interval; the key is the close boundary of the bucket."""
+def resample(df: DataFrame, interval: str, source: str) -> DataFrame:
+    """Candles of a coarser interval made of those of ``source``; other intervals are left alone.
+
+    The key is the close boundary of the bucket. Among copies of a time the smallest open and the
+    largest close count. A sum of trades beyond 32 bits, which the column cannot hold, is NULL.
+    """
     return (
-        df.withColumn("_close", bucket_close("timestamp", interval))
+        df.where(F.col("interval") == source)
+        .withColumn("_close", bucket_close("timestamp", interval))
         .groupBy("exchange", "symbol", "_close")
         .agg(
-            F.min_by("open", "timestamp").alias("open"),
+            F.min_by("open", F.struct("timestamp", "open")).alias("open"),
             F.max("high").alias("high"),
             F.min("low").alias("low"),
-            F.max_by("close", "timestamp").alias("close"),
+            F.max_by("close", F.struct("timestamp", "close")).alias("close"),
             F.sum("volume").alias("volume"),
             F.sum("quote_volume").alias("quote_volume"),
-            F.sum("trades_count").cast("int").alias("trades_count"),
+            F.sum("trades_count").try_cast("int").alias("trades_count"),
             F.sum("taker_buy_base_volume").alias("taker_buy_base_volume"),
             F.sum("taker_buy_quote_volume").alias("taker_buy_quote_volume"),
         )
@@ -62,26 +67,31 @@ def resample(df: DataFrame, interval: str) -> DataFrame:
 
 
 def daily_vwap(df: DataFrame) -> DataFrame:
-    """Volume-weighted average price per symbol and trading day."""
+    """Volume-weighted average price per series (exchange, symbol, interval) and trading day."""
+    series = ("exchange", "symbol", "interval")
     return (
-        df.groupBy("symbol", F.to_date(just_before("timestamp")).alias("day"))
+        df.groupBy(*series, F.to_date(just_before("timestamp")).alias("day"))
         .agg(F.sum("quote_volume").alias("_quote"), F.sum("volume").alias("_base"))
-        .select("symbol", "day", F.try_divide("_quote", "_base").alias("vwap"))
+        .select(*series, "day", F.try_divide("_quote", "_base").alias("vwap"))
     )
 
 
 def rolling_volatility(df: DataFrame, candles: int) -> DataFrame:
-    """Sample deviation of log returns over the last ``candles`` rows of each series."""
+    """Sample deviation of log returns over the last ``candles`` rows of each series.
+
+    Copies of a time are ordered by their close, in both passes alike.
+    """
+    order = ["timestamp", "close"]
     keys = ["exchange", "symbol", "interval"]
     rows = df.where(positive("close")).select(*keys, "timestamp", "close")
     slices = time_slice("timestamp", cadence_seconds("interval"))
-    returns = with_previous(rows, keys, ["timestamp"], ["close"], slices).withColumn(
+    returns = with_previous(rows, keys, order, ["close"], slices).withColumn(
         "log_return", F.ln(F.col("close") / F.col("prev_close"))
     )
     return with_trailing(
         returns,
         keys,
-        ["timestamp"],
+        order,
         candles - 1,
         {
             "volatility": lambda w: F.stddev_samp("log_return").over(

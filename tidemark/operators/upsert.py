@@ -48,10 +48,14 @@ def dedupe_snapshot(rows: DataFrame) -> DataFrame:
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, table: str) -> DataFrame:
-    """Rows of ``incoming`` whose primary key is not stored yet."""
-    spec = specs.table_spec(table)
-    stored = existing.select(*spec.primary_key)
-    return dedupe_incoming(incoming, table).join(stored, list(spec.primary_key), "left_anti")
+    """One row for each primary key of ``incoming`` that is not stored yet."""
+    return absent_rows(dedupe_incoming(incoming, table), existing, table)
+
+
+def absent_rows(unique: DataFrame, existing: DataFrame, table: str) -> DataFrame:
+    """Rows, one for each key, whose key is not among the existing rows."""
+    keys = list(specs.table_spec(table).primary_key)
+    return unique.join(existing.select(*keys), keys, "left_anti")
 
 
 def close_day(ts: Column | str) -> Column:

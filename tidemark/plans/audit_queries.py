@@ -115,27 +115,30 @@ def audit_ohlc(spark, folder):
     return ac.row_check(views.dirty_candles(spark, folder), "invalid_ohlc")
 
 
+# Each flag from its rule, over numbers in which everything that is not finite is NULL: NULL makes a
+# comparison unknown, and an unknown flag is not raised.
+FLAG_INPUTS = ", ".join(
+    f"CASE WHEN isfinite({c}) THEN {c} END AS n_{c}"
+    for c in ("low", "high", "volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")
+)
 FLAG_SQL = {
-    "positive_volume_zero_quote": f"{pos('volume')} AND {fin('quote_volume')} AND quote_volume = 0",
-    "positive_quote_zero_volume": f"{pos('quote_volume')} AND {fin('volume')} AND volume = 0",
-    "zero_trades_positive_volume": "trades_count IS NOT NULL AND trades_count = 0 AND "
-    f"({pos('volume')} OR {pos('quote_volume')})",
-    "quote_volume_price_band": f"{pos('volume')} AND {pos('quote_volume')} AND {pos('low')} "
-    f"AND {fin('high')} AND high >= low AND (quote_volume < low * volume * (1 - 0.001) "
-    "OR quote_volume > high * volume * (1 + 0.001))",
-    "taker_base_exceeds_volume": f"{fin('taker_buy_base_volume')} AND {fin('volume')} "
-    "AND taker_buy_base_volume > volume * (1 + 0.001)",
-    "taker_quote_exceeds_quote_volume": f"{fin('taker_buy_quote_volume')} AND {fin('quote_volume')} "
-    "AND taker_buy_quote_volume > quote_volume * (1 + 0.001)",
+    "positive_volume_zero_quote": "n_quote_volume = 0 AND sign(n_volume) = 1",
+    "positive_quote_zero_volume": "n_volume = 0 AND sign(n_quote_volume) = 1",
+    "zero_trades_positive_volume": "trades_count = 0 AND greatest(coalesce(n_volume, 0), coalesce(n_quote_volume, 0)) > 0",
+    "quote_volume_price_band": "n_low > 0 AND n_low <= n_high AND least(n_volume, n_quote_volume) > 0 "
+    "AND n_volume IS NOT NULL AND n_quote_volume IS NOT NULL "
+    "AND NOT (n_quote_volume BETWEEN 0.999 * (n_low * n_volume) AND 1.001 * (n_high * n_volume))",
+    "taker_base_exceeds_volume": "n_taker_buy_base_volume > 1.001 * n_volume",
+    "taker_quote_exceeds_quote_volume": "n_taker_buy_quote_volume > 1.001 * n_quote_volume",
 }
-FLAGS = ", ".join(f"({sql}) AS {name}" for name, sql in FLAG_SQL.items())
+FLAGS = ", ".join(f"coalesce({sql}, FALSE) AS {name}" for name, sql in FLAG_SQL.items())
 ANY_FLAG = " OR ".join(FLAG_SQL)
 FLAG_COUNTS = ", ".join(f"count(*) FILTER (WHERE {n}) AS {n}_count" for n in FLAG_SQL)
 VOLUME_PRICE_SQL = f"""
 SELECT symbol, "interval", count(*) FILTER (WHERE {ANY_FLAG}) AS bad_count,
        min("timestamp") FILTER (WHERE {ANY_FLAG}) AS first_timestamp,
        max("timestamp") FILTER (WHERE {ANY_FLAG}) AS last_timestamp, {FLAG_COUNTS}
-FROM (SELECT *, {FLAGS} FROM dirty) GROUP BY 1, 2 HAVING count(*) FILTER (WHERE {ANY_FLAG}) > 0
+FROM (SELECT *, {FLAGS} FROM (SELECT *, {FLAG_INPUTS} FROM dirty)) GROUP BY 1, 2 HAVING count(*) FILTER (WHERE {ANY_FLAG}) > 0
 """
 
 
@@ -199,10 +202,9 @@ def audit_robust_jumps(spark, folder):
 
 @add("audit_robust_jumps_large_groups", with_views(ROBUST_SQL, "dirty", extra=JUMP_CTES))
 def audit_robust_jumps_large_groups(spark, folder):
-    """The same check on the path taken when a series is too large for in-memory quantiles."""
-    found = ac.robust_jumps(
-        views.dirty_candles(spark, folder), group_rows=ac.SMALL_GROUP_ROWS + 1
-    )
+    """The same check with the returns made by the caller and read by both sides of it."""
+    dirty = views.dirty_candles(spark, folder)
+    found = ac.robust_jumps(dirty, returns=materialise(ac.close_returns(dirty), "returns"))
     return rounded(found, "max_abs_relative_return", "max_abs_log_return")
 
 
@@ -246,10 +248,8 @@ def audit_volume_iqr(spark, folder):
 
 @add("audit_volume_iqr_large_groups", with_views(volume_sql(20), "dirty"))
 def audit_volume_iqr_large_groups(spark, folder):
-    """The same check on the path taken when a series is too large for in-memory quantiles."""
-    return ac.volume_outliers(
-        views.dirty_candles(spark, folder), group_rows=ac.SMALL_GROUP_ROWS + 1
-    )
+    """The same check over rows dealt out at random, so that every task holds every series."""
+    return ac.volume_outliers(views.dirty_candles(spark, folder).repartition(16))
 
 
 STALE = f"""
@@ -258,19 +258,17 @@ SELECT *, ({fin('open')} AND {fin('high')} AND {fin('low')} AND {fin('close')} A
     AND quote_volume = 0 AND coalesce(trades_count, 0) = 0) AS is_stale
 FROM dirty JOIN cadence USING ("interval")
 """
+# Islands: distinct stale times with one offset within the step are consecutive exactly while
+# (time / step - place among them) stays the same. The view holds no copies of a stale time.
 STALE_RUNS = """
-SELECT symbol, "interval", segment, min("timestamp") AS first_timestamp,
+SELECT symbol, "interval", island AS segment, min("timestamp") AS first_timestamp,
        max("timestamp") AS last_timestamp, count(*) AS observations,
        date_diff('second', min("timestamp"), max("timestamp")) + max(expected_seconds) AS duration
 FROM (
-    SELECT *, sum(CASE WHEN is_stale AND coalesce(prev_stale, FALSE)
-                        AND date_diff('second', prev, "timestamp") = expected_seconds
-                       THEN 0 ELSE 1 END)
-        OVER (PARTITION BY symbol, "interval" ORDER BY "timestamp", is_stale
-              ROWS UNBOUNDED PRECEDING) AS segment
-    FROM (SELECT *, lag("timestamp") OVER w AS prev, lag(is_stale) OVER w AS prev_stale FROM stale
-          WINDOW w AS (PARTITION BY symbol, "interval" ORDER BY "timestamp", is_stale)))
-WHERE is_stale GROUP BY 1, 2, 3
+    SELECT *, sec // expected_seconds - row_number() OVER (
+               PARTITION BY symbol, "interval", sec % expected_seconds ORDER BY sec) AS island
+    FROM (SELECT *, CAST(epoch("timestamp") AS BIGINT) AS sec FROM stale WHERE is_stale))
+GROUP BY symbol, "interval", island, sec % expected_seconds
 """
 STALE_SQL = """
 SELECT symbol, "interval", count(*) AS bad_count, min(first_timestamp) AS first_timestamp,
@@ -475,7 +473,7 @@ SELECT *, CASE WHEN {WELL_FORMED} THEN (high - low) / close END AS range_pct,
        CASE WHEN {WELL_FORMED} THEN (least(open, close) - low) / close END AS lower_wick_pct,
        CASE WHEN expected_seconds <= 86400
             THEN CAST(epoch("timestamp") AS BIGINT) % expected_seconds END AS off, {FLAGS}
-FROM measured""",
+FROM (SELECT *, {FLAG_INPUTS} FROM measured)""",
     "diagnosed": f"""
 SELECT s.*, coalesce(delta_seconds > s.expected_seconds, FALSE) AS time_gaps,
        coalesce(off > 0, FALSE) AS timestamp_alignment, {ANY_FLAG} AS volume_price_inconsistency,
@@ -691,10 +689,8 @@ def audit_oi_changes(spark, folder):
 
 @add("audit_oi_changes_large_groups", with_views(OI_CHANGES_SQL, "doi", extra=OI_CTES))
 def audit_oi_changes_large_groups(spark, folder):
-    """The same check on the path taken when a series is too large for in-memory quantiles."""
-    found = am.open_interest_changes(
-        views.dirty_open_interest(spark, folder), group_rows=ac.SMALL_GROUP_ROWS + 1
-    )
+    """The same check over rows dealt out at random, so that every task holds every series."""
+    found = am.open_interest_changes(views.dirty_open_interest(spark, folder).repartition(16))
     return rounded(found, "max_relative_change")
 
 

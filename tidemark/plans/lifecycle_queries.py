@@ -17,7 +17,8 @@ from tidemark.plans.query import Registry, rounded
 from tidemark.plans.view_sql import with_views
 from tidemark.session import materialise, scratch_path
 from tidemark.sources import archives, reports, tables
-from tidemark.streaming.candles import run_to_table, streaming_candles
+from tidemark.streaming import ingest as stream
+from tidemark.streaming.candles import open_candles, run_to_table, streaming_candles
 
 REGISTRY = Registry()
 add = REGISTRY.add
@@ -125,6 +126,36 @@ def parse_rejected_files(spark, folder):
     return found.select("file", F.array_join("missing_columns", ",").alias("missing"))
 
 
+@add(
+    "parse_bad_fields",
+    with_views(
+        """
+SELECT symbol, "timestamp", 'type' AS rule, bad AS "column" FROM (
+    SELECT symbol, "timestamp", CAST(epoch("timestamp") AS BIGINT) // 3600 % 11 AS n FROM k1h WHERE symbol = 'VIEWUSDT')
+JOIN (VALUES (2, 'trades_count'), (5, 'taker_buy_base_volume'), (7, 'trades_count')) AS t(hit, bad) ON n = hit
+""",
+        "k1h",
+    ),
+)
+def parse_bad_fields(spark, folder):
+    """Text in optional numbers, and a count beyond 32 bits: each is a broken type of its row."""
+    lines = candle_lines(spark, folder).where(
+        (F.col("symbol") == "VIEWUSDT") & (F.col("line_no") % 2 == 0)
+    )
+    parts = F.split("line", ",")
+    n = F.floor(F.col("line_no") / 2) % 11
+    fields = [
+        F.when((F.lit(at) == 8) & (n == 2), "abc")
+        .when((F.lit(at) == 9) & (n == 5), "x1")
+        .when((F.lit(at) == 8) & (n == 7), "9000000000")
+        .otherwise(F.get(parts, F.lit(at)))
+        for at in range(len(specs.CANDLE_FILE_COLUMNS))
+    ]
+    rows = nz.normalise(lines.withColumn("line", F.concat_ws(",", *fields)), "spot").rows
+    found = va.row_violations(rows, "spot", ["file"])
+    return found.select("symbol", "timestamp", "rule", "column")
+
+
 @add(
     "parse_close_window",
     with_views(
@@ -284,6 +315,33 @@ def parse_candle_payload(spark, folder):
     )
 
 
+@add(
+    "parse_bad_payloads",
+    with_views(
+        """
+SELECT symbol, day, ['not a JSON array of records', 'record with missing fields', 'unreadable field'][bad::INT] AS reason
+FROM (SELECT DISTINCT symbol, CAST("timestamp" - INTERVAL 1 MICROSECOND AS DATE) AS day,
+             day(CAST("timestamp" - INTERVAL 1 MICROSECOND AS DATE)) % 5 AS bad FROM k1h) WHERE bad BETWEEN 1 AND 3
+""",
+        "k1h",
+    ),
+)
+def parse_bad_payloads(spark, folder):
+    """Cut-off JSON, records with too few fields and unreadable numbers: the payload is rejected."""
+    days = views.hourly_candles(spark, folder).select(
+        "symbol", "interval", up.close_day("timestamp").alias("day")
+    ).distinct()
+    good = '["1704067200000","1","2","1","2","5","1704070799999","9","3","1","1","0"]'
+    bad = F.dayofmonth("day") % 5
+    payload = (
+        F.when(bad == 1, "[" + good + ",[")
+        .when(bad == 2, "[" + good + ',["1704067200000","1"]]')
+        .when(bad == 3, "[" + good.replace('"5"', '"five"') + "]")
+        .otherwise("[" + good + "]")
+    )
+    return nz.rejected_payloads(days.withColumn("payload", payload), "spot").drop("interval")
+
+
 @add("parse_funding_payload", with_views("SELECT exchange, symbol, \"timestamp\", funding_rate FROM fr", "fr"))
 def parse_funding_payload(spark, folder):
     """One payload per symbol and day: a JSON array of objects."""
@@ -985,27 +1043,51 @@ def report_with_anomalies(spark, folder):
     "stream_candles",
     with_views(
         """
-SELECT symbol, "timestamp", open, high, low, close, volume, round(quote_volume, 4) AS quote_volume, trades_count
-FROM k1h WHERE "timestamp" <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY
+SELECT exchange, symbol, "interval", "timestamp", open, high, low, close, round(volume, 4) AS volume,
+       round(quote_volume, 4) AS quote_volume, trades_count, round(taker_buy_base_volume, 4) AS taker_buy_base_volume,
+       round(taker_buy_quote_volume, 4) AS taker_buy_quote_volume
+FROM k1h
 """,
         "k1h",
     ),
 )
 def stream_candles(spark, folder):
-    """Events read as a stream; candles come out once the three-day watermark has passed."""
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema)
-        # A pattern, since the table may be one file or a folder of files.
-        .parquet(f"{folder}/events.parquet*")
-        .where(F.col("value") > 0)
-        .select(
+    """Events read as a stream give the candles that the three-day watermark has closed; the open
+    ones are added from the table."""
+
+    def prepared(events):
+        return events.where(F.col("value") > 0).select(
             "event_id",
             "ts",
             F.concat(F.upper("event_type"), F.lit(specs.QUOTE_ASSET)).alias("symbol"),
             "value",
             (1 + F.col("event_id") % 7).cast("double").alias("qty"),
+            (F.col("event_id") % 2 == 0).alias("taker"),
         )
+
+    stored = spark.read.parquet(f"{folder}/events.parquet")
+    # A pattern, since the table may be one file or a folder of files.
+    arriving = spark.readStream.schema(stored.schema).parquet(f"{folder}/events.parquet*")
+    closed = run_to_table(spark, streaming_candles(prepared(arriving)), "candles")
+    sums = ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")
+    return rounded(closed.unionByName(open_candles(prepared(stored))), *sums, digits=4)
+
+
+@add(
+    "ingest_new_lines",
+    with_views(
+        'SELECT symbol, "timestamp", open, close, volume, trades_count FROM k1h WHERE symbol <> \'ERRORUSDT\'', "k1h"
+    ),
+)
+def ingest_new_lines(spark, folder):
+    """Daily archive lines arrive in a landing folder in two turns and are ingested after each by a
+    stream that remembers what it has seen; unreadable files stay out and do not stop it."""
+    inbox, root, state = (scratch_path(spark, x) for x in ("inbox", "ingested", "ingest-state"))
+    lines = materialise(candle_lines(spark, folder), "lines")
+    early = F.col("period") < "2024-02-15"
+    for part in (lines.where(early), lines.where(~early)):
+        archives.stage_lines(part, inbox)
+        stream.ingest_new_lines(spark, inbox, root, "spot", state).awaitTermination()
+    return tables.read_table(spark, root, "spot").select(
+        "symbol", "timestamp", "open", "close", "volume", "trades_count"
     )
-    closed = run_to_table(spark, streaming_candles(events), "candles")
-    return rounded(closed, "quote_volume", digits=4).drop("exchange", "interval")

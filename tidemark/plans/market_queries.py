@@ -60,8 +60,8 @@ def _resampled(width: str, interval: str, table: str, close: str | None = None)
     )
     return f"""
 SELECT exchange, symbol, '{interval}' AS "interval", {bucket} AS "timestamp",
-       arg_min(open, "timestamp") AS open, max(high) AS high, min(low) AS low,
-       arg_max(close, "timestamp") AS close, round(sum(volume), 4) AS volume,
+       arg_min(open, struct_pack(t := "timestamp", v := open)) AS open, max(high) AS high, min(low) AS low,
+       arg_max(close, struct_pack(t := "timestamp", v := close)) AS close, round(sum(volume), 4) AS volume,
        round(sum(quote_volume), 4) AS quote_volume, CAST(sum(trades_count) AS INTEGER) AS trades_count,
        round(sum(taker_buy_base_volume), 4) AS taker_buy_base_volume,
        round(sum(taker_buy_quote_volume), 4) AS taker_buy_quote_volume
@@ -74,12 +74,12 @@ _SUMS = ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_vol
 
 @add("resample_4h", with_views(_resampled("4 hours", "4h", "k1h"), "k1h"))
 def resample_4h(spark, folder):
-    return rounded(rs.resample(views.hourly_candles(spark, folder), "4h"), *_SUMS, digits=4)
+    return rounded(rs.resample(views.hourly_candles(spark, folder), "4h", "1h"), *_SUMS, digits=4)
 
 
 @add("resample_1d", with_views(_resampled("1 day", "1d", "k1h"), "k1h"))
 def resample_1d(spark, folder):
-    return rounded(rs.resample(views.hourly_candles(spark, folder), "1d"), *_SUMS, digits=4)
+    return rounded(rs.resample(views.hourly_candles(spark, folder), "1d", "1h"), *_SUMS, digits=4)
 
 
 @add(
@@ -92,7 +92,7 @@ def resample_1d(spark, folder):
     ),
 )
 def resample_1w(spark, folder):
-    return rounded(rs.resample(views.daily_candles(spark, folder), "1w"), *_SUMS, digits=4)
+    return rounded(rs.resample(views.daily_candles(spark, folder), "1w", "1d"), *_SUMS, digits=4)
 
 
 @add(
@@ -105,14 +105,48 @@ def resample_1w(spark, folder):
     ),
 )
 def resample_month(spark, folder):
-    return rounded(rs.resample(views.daily_candles(spark, folder), "1M"), *_SUMS, digits=4)
+    return rounded(rs.resample(views.daily_candles(spark, folder), "1M", "1d"), *_SUMS, digits=4)
+
+
+@add("resample_mixed_intervals", with_views(_resampled("1 day", "1d", "k1h"), "k1h"))
+def resample_mixed_intervals(spark, folder):
+    """A table of hourly and four-hour candles, with every hourly one there twice but for its open
+    and close: only the hourly ones count, and copies are ordered by value."""
+    hourly = views.hourly_candles(spark, folder)
+    nothing = {c: F.lit(0.0) for c in ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")}
+    copies = hourly.withColumns(
+        nothing | {"open": F.col("open") + 1, "close": F.col("close") - 1, "trades_count": F.lit(0)}
+    )
+    both = hourly.unionByName(copies).unionByName(rs.resample(hourly, "4h", "1h"))
+    return rounded(rs.resample(both, "1d", "1h"), *_SUMS, digits=4)
+
+
+@add(
+    "rolling_vol_with_copies",
+    with_views(
+        """
+SELECT symbol, "timestamp", close, round(log_return, 6) AS log_return, round(stddev_samp(log_return) OVER (
+           PARTITION BY symbol ORDER BY "timestamp", close ROWS 5 PRECEDING), 6) AS volatility
+FROM (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp", close)) AS log_return
+      FROM (SELECT symbol, "timestamp", close FROM k1h
+            UNION ALL SELECT symbol, "timestamp", close * 2 FROM k1h) WHERE close > 0)
+""",
+        "k1h",
+    ),
+)
+def rolling_vol_with_copies(spark, folder):
+    """Every candle twice, the copy at twice the price: copies of a time are ordered by close."""
+    hourly = views.hourly_candles(spark, folder)
+    both = hourly.unionByName(hourly.withColumn("close", F.col("close") * 2))
+    found = rs.rolling_volatility(both, 6)
+    return rounded(found.select("symbol", "timestamp", "close", "log_return", "volatility"), "log_return", "volatility")
 
 
 @add(
     "vwap_daily",
     with_views(
-        'SELECT symbol, CAST("timestamp" - INTERVAL 1 SECOND AS DATE) AS day, '
-        "round(sum(quote_volume) / sum(volume), 6) AS vwap FROM k1h GROUP BY 1, 2",
+        'SELECT exchange, symbol, "interval", CAST("timestamp" - INTERVAL 1 SECOND AS DATE) AS day, '
+        "round(sum(quote_volume) / sum(volume), 6) AS vwap FROM k1h GROUP BY 1, 2, 3, 4",
         "k1h",
     ),
 )
@@ -587,11 +621,48 @@ FROM guarded
 )
 def repair_guards(spark, folder):
     target, _ = _repair_inputs(spark, folder)
-    return rp.with_guards(gp.candle_gaps(target)).select(
+    return rp.with_guards(gp.candle_gaps(target), specs.REPAIR_ROW_LIMITS).select(
         "symbol", "prev_close", "next_close", "expected_missing", "off_grid", "too_large"
     )
 
 
+@add(
+    "repair_wide_gap",
+    with_views(
+        """
+SELECT s.symbol, s."timestamp", s.close FROM minutes AS s JOIN edges AS e USING (symbol)
+WHERE s."timestamp" > e.low AND s."timestamp" < e.high
+""",
+        extra={
+            "minutes": """
+SELECT symbol, "timestamp", close FROM (
+    SELECT upper(event_type) || 'USDT' AS symbol, time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS "timestamp",
+           max(value) AS close FROM events WHERE value > 0 GROUP BY 1, 2)
+""",
+            "edges": 'SELECT symbol, min("timestamp") AS low, max("timestamp") AS high FROM minutes GROUP BY 1',
+        },
+    ),
+)
+def repair_wide_gap(spark, folder):
+    """One-minute candles of which only the first and last are stored: gaps of tens of thousands
+    of rows, far beyond any page of a source, are filled with all that the source has."""
+    ends = views.bucket_end("ts", 60)
+    minutes = (
+        views.read_table(spark, folder, "events")
+        .where(F.col("value") > 0)
+        .groupBy(F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"), ends.alias("timestamp"))
+        .agg(F.max("value").alias("close"))
+    )
+    price = {c: F.col("close") for c in ("open", "high", "low", "volume", "quote_volume")}
+    takers = {c: F.lit(0.0) for c in ("taker_buy_base_volume", "taker_buy_quote_volume")}
+    fixed = {"exchange": F.lit("binance"), "interval": F.lit("1m"), "trades_count": F.lit(1)}
+    source = minutes.withColumns(price | takers | fixed).select(*specs.CANDLE_SCHEMA.fieldNames())
+    edges = source.groupBy("symbol").agg(F.min("timestamp").alias("begin"), F.max("timestamp").alias("end"))
+    at_edge = (F.col("timestamp") == F.col("begin")) | (F.col("timestamp") == F.col("end"))
+    target = source.join(edges, "symbol").where(at_edge).drop("begin", "end")
+    return rp.repair(target, source, "spot").rows.select("symbol", "timestamp", "close")
+
+
 FUNDING_SOURCE = """
 SELECT 'binance' AS exchange, symbol, time_bucket(INTERVAL '8 hours', ts) + INTERVAL '8 hours'
        AS "timestamp", round((avg(value) - 50) / 1000 + 3e-10, 6) AS funding_rate
@@ -757,34 +828,65 @@ def open_times(spark, folder):
     return found.select("symbol", "timestamp", "open_time_ms")
 
 
-@add("random_sample", "SELECT CAST(100 AS BIGINT) AS n, CAST(0 AS BIGINT) AS unknown")
-def random_sample(spark, folder):
-    """A sample of 100 rows, every one of them a row of the table."""
-    rows = materialise(views.hourly_candles(spark, folder), "candles")
-    sample = rc.random_rows(rows, 100, seed=7)
-    keys = ["symbol", "timestamp"]
-    checked = sample.join(rows.select(*keys, F.lit(1).alias("known")), keys, "left")
-    return checked.agg(
-        F.count("*").alias("n"), F.count_if(F.col("known").isNull()).alias("unknown")
+@add(
+    "reconcile_skipped",
+    with_views(
+        """
+SELECT unnest(['open', 'high', 'low', 'close', 'volume', 'quote_volume', 'trades_count']) AS field,
+       unnest([0, 0, 0, 0, 0, 0, (SELECT count(*) FROM both_sides WHERE NOT no_a AND NOT no_b AND source_n IS NULL)])::BIGINT AS skipped
+""",
+        "k1h",
+        "holed",
+        extra=COPY_CTES,
+    ),
+)
+def reconcile_skipped(spark, folder):
+    """Fields that could not be compared, over a source of which every row is there twice."""
+    hour = _hour()
+    source = (
+        views.hourly_candles(spark, folder)
+        .where(hour % 43 != 7)
+        .withColumn("trades_count", F.when(hour % 37 != 5, F.col("trades_count")))
     )
+    keys = ["exchange", "symbol", "interval", "timestamp"]
+    stored = views.holed_candles(spark, folder)
+    return rc.skipped(stored, source.unionByName(source), keys, rc.CANDLE_TOLERANCES)
+
+
+SAMPLE_HASH = """('0x' || substr(md5(concat_ws('|', '{seed}', exchange, symbol, "interval",
+    epoch_us("timestamp")::VARCHAR)), 1, 10))::BIGINT"""
+
+
+@add(
+    "random_sample",
+    with_views(
+        f"""
+SELECT symbol, "timestamp", close FROM k1h ORDER BY {SAMPLE_HASH.format(seed=7)}, symbol, "timestamp" LIMIT 100
+""",
+        "k1h",
+    ),
+)
+def random_sample(spark, folder):
+    """A sample of 100 rows by hash of the key."""
+    return rc.random_rows(views.hourly_candles(spark, folder), 100, seed=7).select("symbol", "timestamp", "close")
 
 
 @add(
     "stratified_sample",
     with_views(
-        """
-SELECT CAST(sum(least(n, take)) AS BIGINT) AS sampled, count(*) AS symbols FROM (
-    SELECT n, CAST(floor(total * 0.1) AS BIGINT) // 5 AS take FROM (
-        SELECT symbol, count(*) AS n, sum(count(*)) OVER () AS total FROM k1h GROUP BY 1))
+        f"""
+SELECT symbol, "timestamp", close FROM (
+    SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {SAMPLE_HASH.format(seed=3)}, "timestamp") AS pos FROM k1h)
+JOIN (SELECT symbol, least(n, target // symbols + CASE WHEN nth <= target % symbols THEN 1 ELSE 0 END) AS take FROM (
+    SELECT symbol, n, CAST(floor(sum(n) OVER () * 0.1) AS BIGINT) AS target, count(*) OVER () AS symbols,
+           row_number() OVER (ORDER BY ('0x' || substr(md5('4|' || symbol), 1, 10))::BIGINT) AS nth
+    FROM (SELECT symbol, count(*) AS n FROM k1h GROUP BY 1))) USING (symbol)
+WHERE pos <= take
 """,
         "k1h",
     ),
 )
 def stratified_sample(spark, folder):
-    """A tenth of all rows, split evenly over the five symbols; the odd rows are left aside."""
-    rows = views.hourly_candles(spark, folder)
-    per_symbol = rc.stratified_rows(rows, 0.1, 12, seed=3).groupBy("symbol").agg(F.count("*").alias("n"))
-    even = per_symbol.agg(F.sum("n").alias("total"), F.count("*").alias("symbols"))
-    return even.select(
-        (F.col("total") - F.col("total") % F.col("symbols")).alias("sampled"), "symbols"
-    )
+    """A tenth of all rows, split evenly over the symbols, the odd rows too."""
+    found = rc.stratified_rows(views.hourly_candles(spark, folder), 0.1, 12, seed=3)
+    return found.select("symbol", "timestamp", "close")

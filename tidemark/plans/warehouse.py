@@ -72,6 +72,7 @@ def ingest_lines(
         found = upsert.accepted_files(
             parsed.anomalies, bad.withColumnRenamed("file", "source_file"), "source_file"
         )
+        found = materialise(found, f"anomalies-{table}")
         reports.append_anomalies(found, anomaly_path)
         summary.anomalies = found.count()
     return summary

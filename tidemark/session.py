@@ -82,4 +82,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove copies made by ``materialise`` that nothing reads any more."""
+    for df in stored:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

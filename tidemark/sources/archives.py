@@ -61,13 +61,20 @@ def with_file_parts(lines: DataFrame, table: str) -> DataFrame:
 
 
 def unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines of the first CSV member of each archive, in batches of bounded size."""
+    """Lines of the first CSV member of each archive, in batches of bounded size.
+
+    An archive that is broken or holds no CSV gives one NULL line, by which the file is rejected.
+    """
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
+            if not zipfile.is_zipfile(io.BytesIO(content)):
+                yield _lines(path, 0, [None])
+                continue
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 members = [m for m in archive.namelist() if m.endswith(".csv")]
                 if not members:
-                    raise ValueError(f"no CSV file in {path}")
+                    yield _lines(path, 0, [None])
+                    continue
                 with archive.open(members[0]) as raw:
                     block, start = [], 0
                     for text in io.TextIOWrapper(raw, encoding="utf-8", newline="\n"):
@@ -79,7 +86,7 @@ def unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield _lines(path, start, block)
 
 
-def _lines(path: str, start: int, block: list[str]) -> pd.DataFrame:
+def _lines(path: str, start: int, block: list[str | None]) -> pd.DataFrame:
     return pd.DataFrame(
         {"file": path, "line_no": range(start, start + len(block)), "line": block}
     )
@@ -110,3 +117,8 @@ def read_plain(spark: SparkSession, paths: Sequence[str] | str, table: str) -> D
         "_id"
     ).bitwiseAND(F.lit((1 << 33) - 1))
     return with_file_parts(text.select("file", line_no.alias("line_no"), "line"), table)
+
+
+def stage_lines(lines: DataFrame, folder: str) -> None:
+    """Append archive lines (file, line_no, line) to a landing folder, each file's in one part."""
+    lines.select("file", "line_no", "line").repartition("file").write.mode("append").parquet(folder)

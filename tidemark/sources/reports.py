@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.operators import findings as fd
+from tidemark.session import materialise
 
 
 def append_anomalies(anomalies: DataFrame, path: str) -> None:
@@ -37,17 +38,32 @@ def anomaly_findings(
 
 
 def write_findings(findings: DataFrame, path: str) -> None:
-    """Write a findings report as JSON, refusing rows that break the report contract."""
-    if fd.contract_breaks(findings).limit(1).count():
+    """Write a findings report as JSON, refusing rows that break the report contract.
+
+    The findings are computed once, into the shared folder, and checked and published from there.
+    """
+    staged = materialise(findings, "findings")
+    if fd.contract_breaks(staged).limit(1).count():
         raise ValueError("findings break the report contract")
-    findings.write.mode("overwrite").json(path)
+    staged.write.mode("overwrite").json(path)
 
 
 def read_findings(
     spark: SparkSession, path: str, anomalies: str | None = None
 ) -> DataFrame:
-    """A findings report, with import anomalies if given; absent columns read as NULL."""
-    report = spark.read.schema(specs.FINDING_SCHEMA).json(path)
+    """A findings report, with import anomalies if given; absent columns read as NULL.
+
+    The report is JSON lines or one JSON array; anything else is an error. An array is read as one
+    value, so it is for reports of a single tool; a folder of lines has no such limit.
+    """
+    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+    array = bool(first) and first[0][0].lstrip().startswith("[")
+    report = (
+        spark.read.schema(specs.FINDING_SCHEMA)
+        .option("mode", "FAILFAST")
+        .option("multiLine", array)
+        .json(path)
+    )
     if anomalies is not None:
         report = report.unionByName(
             anomaly_findings(spark, anomalies), allowMissingColumns=True

@@ -44,6 +44,8 @@ def _write(df: DataFrame, root: str, table: str, mode: str) -> None:
         .repartition(*parts, "symbol", F.to_date(when))
         .sortWithinPartitions(*parts, "symbol", when)
         .write.mode(mode)
+        # Only the partitions present in the write are replaced, whatever the session's setting.
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
         .parquet(f"{root}/{table}")
     )
@@ -79,35 +81,66 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     return present
 
 
+def _typed(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns in its types; unknown or missing columns and lost values are refused."""
+    problems = validate.column_problems(df, table)
+    if problems:
+        raise validate.ContractError(f"{table}: {'; '.join(problems)}")
+    schema = specs.table_spec(table).schema
+    if all(df.schema[f.name].dataType == f.dataType for f in schema):
+        return df.select(*specs.table_spec(table).columns)
+    typed = validate.coerce(df, table)
+    lost = typed.where(F.size("_uncastable") > 0).limit(1).collect()
+    if lost:
+        raise validate.ContractError(f"{table}: unreadable value in {', '.join(lost[0]['_uncastable'])}")
+    return typed.drop("_uncastable")
+
+
+def _require_contract(found: DataFrame, table: str) -> None:
+    """Refuse a write whose stored rows break the table's rules or its keys."""
+    broken = found.limit(1).collect()
+    if broken:
+        raise validate.ContractError(
+            f"{table}: rule {broken[0]['rule']} on {broken[0]['column']} broken by {broken[0]['value']!r}"
+        )
+
+
 def _touched(stored: DataFrame, incoming: DataFrame, table: str) -> DataFrame:
-    """Stored rows of the partitions that incoming rows fall into.
+    """Stored rows of the very partitions that incoming rows fall into.
 
-    Two bounds are read on the driver; they prune the partitions of the scan.
+    The list of these partitions, a few bytes each, is read on the driver and prunes the scan.
     """
-    spec = specs.table_spec(table)
-    low, high = (
-        with_partition(incoming, table)
-        .agg(F.min(spec.partition_by), F.max(spec.partition_by))
-        .first()
-    )
-    if low is None:
-        return stored.limit(0)
-    return stored.where(F.col(spec.partition_by).between(low, high))
+    parts = _partitions(table)
+    reached = with_partition(incoming, table).select(*parts).distinct().collect()
+    groups: dict[tuple, list] = {}
+    for row in reached:
+        groups.setdefault(tuple(row[:-1]), []).append(row[-1])
+    wanted = F.lit(False)
+    for outer, inner in groups.items():
+        here = F.col(parts[-1]).isin(*inner)
+        for name, value in zip(parts[:-1], outer, strict=True):
+            here = here & (F.col(name) == value)
+        wanted = wanted | here
+    return stored.where(wanted)
 
 
 def insert_new(spark: SparkSession, root: str, table: str, incoming: DataFrame) -> int:
-    """Insert rows whose key is absent and return their number; a rerun inserts none."""
-    if not table_exists(spark, root, table):
-        fresh = upsert.dedupe_incoming(incoming, table)
-    else:
-        stored = _touched(read_table(spark, root, table), incoming, table)
-        fresh = upsert.new_rows(incoming, stored, table)
+    """Insert rows whose key is absent and return their number; a rerun inserts none.
+
+    Rows that break the table's contract are refused before anything is written.
+    """
+    fresh = upsert.dedupe_incoming(_typed(incoming, table), table)
+    if table_exists(spark, root, table):
+        fresh = materialise(fresh, f"incoming-{table}")
+        stored = _touched(read_table(spark, root, table), fresh, table)
+        fresh = upsert.absent_rows(fresh, stored, table)
     counted = Observation()
     staged = materialise(
         fresh.observe(counted, F.count(F.lit(1)).alias("rows")), f"insert-{table}"
     )
     inserted = counted.get["rows"]
     if inserted:
+        _require_contract(validate.violations(staged, table), table)
         _write(staged, root, table, "append")
     return inserted
 
@@ -115,9 +148,10 @@ def insert_new(spark: SparkSession, root: str, table: str, incoming: DataFrame)
 def _overwrite_partitions(
     spark: SparkSession, root: str, table: str, content: DataFrame, touched: DataFrame
 ) -> None:
-    """Replace the touched partitions by new content, staged outside the table first."""
+    """Replace the touched partitions by new content, staged and checked outside the table first."""
     spec = specs.table_spec(table)
     staged = materialise(content.select(*spec.columns), f"replace-{table}")
+    _require_contract(validate.violations(staged, table), table)
     emptied = (
         touched.select(*_partitions(table))
         .distinct()
@@ -138,12 +172,19 @@ def _overwrite_partitions(
 def replace_days(
     spark: SparkSession, root: str, table: str, incoming: DataFrame, days: DataFrame
 ) -> None:
-    """Replace the candles of every (symbol, interval, day) of ``days``."""
-    reach = days.select(
-        "interval", F.date_format("day", "yyyy-MM").alias("month")
-    ).distinct()
-    stored = read_table(spark, root, table)
-    touched = stored.join(reach, ["interval", "month"], "left_semi")
+    """Replace the candles of every (symbol, interval, day) of ``days``.
+
+    Rows of ``incoming`` outside these days are added; a key that is stored already, or comes
+    twice, breaks the contract and nothing is written. The partitions of the days and of the
+    incoming rows are rewritten, with all other rows they hold.
+    """
+    incoming = _typed(incoming, table)
+    reach = (
+        days.select("interval", F.date_format("day", "yyyy-MM").alias("month"))
+        .unionByName(with_partition(incoming, table).select("interval", "month"))
+        .distinct()
+    )
+    touched = read_table(spark, root, table).join(reach, ["interval", "month"], "left_semi")
     content = upsert.replace_days(
         touched.select(*specs.table_spec(table).columns), incoming, days
     )
@@ -155,10 +196,17 @@ def replace_dates(
 ) -> None:
     """Replace the snapshots of every date; a date without incoming rows ends up empty."""
     table = "crypto_universe"
+    incoming = _typed(incoming, table)
     if not table_exists(spark, root, table):
-        _write(incoming, root, table, "errorifexists")
+        staged = materialise(incoming, f"replace-{table}")
+        _require_contract(validate.violations(staged, table), table)
+        _write(staged, root, table, "errorifexists")
         return
-    years = dates.select(F.year("date").alias("year")).distinct()
+    years = (
+        dates.select(F.year("date").alias("year"))
+        .unionByName(incoming.select(F.year("date").alias("year")))
+        .distinct()
+    )
     touched = read_table(spark, root, table).join(years, "year", "left_semi")
     content = upsert.replace_dates(
         touched.select(*specs.table_spec(table).columns), incoming, dates

@@ -9,12 +9,14 @@ from tidemark import specs
 from tidemark.session import scratch_path
 
 LATENESS = "3 days"
+# What takers bought, as SQL over the events.
+TAKER_SUMS = {"taker_buy_base_volume": "qty", "taker_buy_quote_volume": "value * qty"}
 
 
 def streaming_candles(
     events: DataFrame, width: str = "1 hour", interval: str = "1h", lateness: str = LATENESS
 ) -> DataFrame:
-    """Candles of an event stream (event_id, ts, symbol, value, qty), closed by the watermark.
+    """Candles of an event stream (event_id, ts, symbol, value, qty, taker), closed by the watermark.
 
     An event delivered twice inside the watermark counts once. A candle is emitted when its
     window can no longer change; until then late events correct it in state.
@@ -24,8 +26,13 @@ def streaming_candles(
         .withWatermark("ts", lateness)
         .dropDuplicatesWithinWatermark(["event_id"])
     )
+    return _candles(stream, width, interval)
+
+
+def _candles(events: DataFrame, width: str, interval: str) -> DataFrame:
+    """All columns of a candle, over a stream or a table of events."""
     return (
-        stream.groupBy("symbol", F.window("ts", width).alias("_w"))
+        events.groupBy("symbol", F.window("ts", width).alias("_w"))
         .agg(
             F.min_by("value", "ts").alias("open"),
             F.max("value").alias("high"),
@@ -34,6 +41,10 @@ def streaming_candles(
             F.sum("qty").alias("volume"),
             F.sum(F.col("value") * F.col("qty")).alias("quote_volume"),
             F.count("*").cast("int").alias("trades_count"),
+            *[
+                F.coalesce(F.sum(F.when(F.col("taker"), F.expr(amount))), F.lit(0.0)).alias(name)
+                for name, amount in TAKER_SUMS.items()
+            ],
         )
         .select(
             F.lit(specs.EXCHANGE).alias("exchange"),
@@ -47,10 +58,28 @@ def streaming_candles(
             "volume",
             "quote_volume",
             "trades_count",
+            *TAKER_SUMS,
         )
     )
 
 
+def open_candles(
+    events: DataFrame, width: str = "1 hour", interval: str = "1h", lateness: str = LATENESS
+) -> DataFrame:
+    """Candles of a table of events that a stream over them has not closed yet.
+
+    These are the windows that end after the newest event less the lateness. Together with what
+    the stream has written they are all candles so far.
+    """
+    once = events.withColumn("ts", F.col("ts").cast("timestamp")).dropDuplicates(["event_id"])
+    watermark = once.agg(F.max("ts").alias("_newest")).select(
+        (F.col("_newest") - F.expr(f"interval {lateness}")).cast("timestamp_ntz").alias("_watermark")
+    )
+    # One row on the right.
+    candles = _candles(once, width, interval).crossJoin(F.broadcast(watermark))
+    return candles.where(F.col("timestamp") > F.col("_watermark")).drop("_watermark")
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """Process everything available into a parquet folder and return it as a table."""
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-state")

@@ -35,7 +35,30 @@ def ingest_new_archives(
         .select("path", "content")
     )
     lines = with_file_parts(arriving.mapInPandas(unzip_lines, LINE_SCHEMA), table)
+    return _store_lines(lines, root, table, checkpoint, anomaly_path)
 
+
+def ingest_new_lines(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    table: str,
+    checkpoint: str,
+    anomaly_path: str | None = None,
+    parts_per_batch: int = 1_000,
+) -> StreamingQuery:
+    """The same over a landing folder of archive lines written by ``archives.stage_lines``."""
+    arriving = (
+        spark.readStream.schema(LINE_SCHEMA)
+        .option("maxFilesPerTrigger", parts_per_batch)
+        .parquet(folder)
+    )
+    return _store_lines(with_file_parts(arriving, table), root, table, checkpoint, anomaly_path)
+
+
+def _store_lines(
+    lines: DataFrame, root: str, table: str, checkpoint: str, anomaly_path: str | None
+) -> StreamingQuery:
     def store(batch: DataFrame, _: int) -> None:
         ingest_lines(
             batch.sparkSession, root, table, batch, anomaly_path=anomaly_path, strict=False
