@@ -8,12 +8,25 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 
+from tidemark.llm.shared import prepare
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+@pytest.fixture(scope="session")
+def llm(spark):
+    return prepare(spark)
+
+
+@pytest.fixture(scope="session")
+def documents(llm):
+    return lambda rows: llm.createDataFrame(rows, DOCUMENTS)
+
+
 def words(text):
     return WORD.findall(text or "")
 

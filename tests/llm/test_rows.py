@@ -9,7 +9,18 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import components, fingerprint, hamming_components, mix, prose, removed_words, rows_of, words
+from helpers import (  # noqa: F401  fixtures are imported too
+    components,
+    documents,
+    fingerprint,
+    hamming_components,
+    llm,
+    mix,
+    prose,
+    removed_words,
+    rows_of,
+    words,
+)
 from pyspark.sql import functions as F
 
 from tidemark.llm import curves, lattice, mixing, packing, sharding, urls

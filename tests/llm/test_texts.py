@@ -9,7 +9,18 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
-from helpers import components, fingerprint, hamming_components, prose, removed_words, rows_of, sha256, words
+from helpers import (  # noqa: F401  fixtures are imported too
+    components,
+    documents,
+    fingerprint,
+    hamming_components,
+    llm,
+    prose,
+    removed_words,
+    rows_of,
+    sha256,
+    words,
+)
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, quality, simhash, substrings
