@@ -352,9 +352,17 @@ def test_build_warehouse(spark, folder):
     dates = spark.createDataFrame([(day("2024-01-01"),)], "date date")
     listings = payloads.read_listings(spark, str(folder / "lists" / "*.json"))
     made = wh.build_warehouse(
-        spark, root, listings, dates, {"spot": lines}, "2024-01-01", "2024-01-31", 10, {"spot": backfill}
+        spark, root, listings, dates, {"spot": str(folder / "files")}, "2024-01-01", "2024-01-31", 10, {"spot": backfill}
     )
-    assert made["spot"].inserted == {"spot": 10}
+    assert made.symbols == 2 and made.periods == {"spot": {"success": 1, "not_found": 1}}
+    assert made.ingests["spot"].inserted == {"spot": 10} and made.pruned == {"spot": 0}
+    # Again: nothing is pruned or inserted twice, and a narrower range prunes what is outside.
+    again = wh.build_warehouse(spark, root, listings, dates, {"spot": lines}, "2024-01-01", "2024-01-31", 10)
+    assert sum(again.ingests["spot"].inserted.values()) == 0
+    assert tables.prune(
+        spark, root, "spot", spark.createDataFrame([("ZZZUSDT",)], "symbol string"), ["5m"],
+        F.lit(closes[3]).cast("timestamp_ntz"), F.lit(closes[8]).cast("timestamp_ntz"),
+    ) == 0
     stored = tables.read_table(spark, root, "spot")
     assert stamps(stored) == closes and {r["symbol"] for r in stored.collect()} == {"AAAUSDT"}
     # Stored dates are not fetched again, and a date that cannot be built is an error.

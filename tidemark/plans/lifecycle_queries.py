@@ -9,10 +9,12 @@ from tidemark.functions.scalars import epoch_micros, epoch_seconds, interval_lab
 from tidemark.operators import findings as fd
 from tidemark.operators import normalize as nz
 from tidemark.operators import planning as pl
+from tidemark.operators import universe as un
 from tidemark.operators import upsert as up
 from tidemark.operators import validate as va
 from tidemark.operators.audit_metrics import audit_funding_rates
-from tidemark.plans import views
+from tidemark.plans import views, warehouse
+from tidemark.plans.market_queries import IS_TAGGED
 from tidemark.plans.query import Registry, rounded
 from tidemark.plans.view_sql import with_views
 from tidemark.session import materialise, scratch_path
@@ -1091,3 +1093,40 @@ def ingest_new_lines(spark, folder):
     return tables.read_table(spark, root, "spot").select(
         "symbol", "timestamp", "open", "close", "volume", "trades_count"
     )
+
+
+BUILT_SQL = f"""
+SELECT k.symbol, k."timestamp", k.close FROM k1d AS k JOIN (
+    SELECT symbol || 'USDT' AS symbol FROM uni
+    WHERE "date" BETWEEN DATE '1996-02-01' AND DATE '1996-04-30' AND rank <= 6
+    GROUP BY symbol HAVING NOT bool_or({IS_TAGGED})) USING (symbol)
+WHERE k."timestamp" > TIMESTAMP '1996-02-01 00:00:00' AND k."timestamp" <= TIMESTAMP '1996-05-01 00:00:00'
+"""
+
+
+@add("build_warehouse", with_views(BUILT_SQL, "k1d", "uni"))
+def build_warehouse(spark, folder):
+    """The whole build over staged monthly archives of daily candles: first over a wider range, then
+    over the wanted one, so that complete months are skipped and the candles outside pruned."""
+    root = scratch_path(spark, "warehouse")
+    rows = views.daily_candles(spark, folder)
+    month = F.date_format(up.close_day("timestamp"), "yyyy-MM")
+    close_ms = F.floor(epoch_micros("timestamp") / 1_000).cast("bigint") - 1
+    made = {"open_time": close_ms - 86_399_999, "close_time": close_ms, "ignore": F.lit(0)}
+    fields = [F.coalesce(made.get(n, F.col(n)).cast("string"), F.lit("")) for n in specs.CANDLE_FILE_COLUMNS]
+    lines = rows.select(
+        F.concat(F.concat_ws("-", "symbol", F.lit("1d"), month), F.lit(".csv")).alias("file"),
+        close_ms.alias("line_no"),
+        F.concat_ws(",", *fields).alias("line"),
+    )
+    lines = materialise(archives.with_file_parts(lines, "spot"), "lines")
+    ranked = materialise(views.rankings(spark, folder), "rankings")
+    dates = ranked.select("date").distinct()
+    for start, end in (("1996-01-01", "1996-03-31"), ("1996-02-01", "1996-04-30")):
+        warehouse.build_warehouse(
+            spark, root, ranked, dates, {"spot": lines}, start, end, 6, intervals=["1d"], as_of="2000-01-01"
+        )
+    # Symbols of the first range alone keep what they have; those of the second are compared whole.
+    wanted = un.symbol_superset(ranked, "1996-02-01", "1996-04-30", 6)
+    stored = tables.read_table(spark, root, "spot", intervals=["1d"])
+    return stored.join(wanted, "symbol", "left_semi").select("symbol", "timestamp", "close")

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.scalars import date_literal
-from tidemark.operators import normalize, repair, universe, upsert, validate
+from tidemark.operators import normalize, planning, repair, universe, upsert, validate
 from tidemark.session import materialise
-from tidemark.sources import reports, tables
+from tidemark.sources import archives, reports, tables
 
 
 @dataclass
@@ -131,12 +131,115 @@ def repair_tables(
     return result
 
 
+#: Missing files in a row after which a series counts as ended.
+END_OF_LIFE_FILES = 3
+
+
+def wanted_files(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    symbols: DataFrame,
+    available: DataFrame,
+    intervals: Sequence[str],
+    start: date | str,
+    end: date | str,
+    as_of: date | str,
+    threshold: int = END_OF_LIFE_FILES,
+) -> DataFrame:
+    """Archive periods to fetch for the symbols, with ``path``, ``file`` and ``status``.
+
+    ``available`` has (file, symbol, interval, period) of the archives there are. Symbols are
+    replaced by the name their files have, periods stored completely are left out, and a series
+    is cut where its files end. A period without a file has the status not_found.
+    """
+    spec = specs.table_spec(table)
+    kline = spec.kind == "kline"
+    requests = symbols.select(
+        "symbol", date_literal(start).alias("start"), date_literal(end).alias("end")
+    )
+    if kline:
+        labels = F.array(*[F.lit(i) for i in intervals])
+        periods = planning.candle_periods(requests.withColumn("interval", F.explode(labels)), as_of)
+    else:
+        periods = planning.metric_periods(requests, table).withColumn(
+            "interval", F.lit(None).cast("string")
+        )
+    of_table = F.lit(table).alias("table")
+    named = planning.effective_symbols(
+        periods.select("*", of_table), available.select("*", of_table)
+    ).select(
+        F.col("symbol").alias("asked_symbol"),
+        F.col("effective_symbol").alias("symbol"),
+        "interval",
+        "period",
+        "is_monthly",
+        "replace_existing",
+    )
+    if tables.table_exists(spark, root, table):
+        stored = tables.read_table(spark, root, table, intervals=intervals if kline else None)
+        # Partitions by month: those of the range, and the one before it for rows at midnight.
+        first = F.date_format(F.add_months(date_literal(start), -1), "yyyy-MM")
+        last = F.date_format(date_literal(end), "yyyy-MM")
+        stored = stored.where(F.col("month").between(first, last)).join(
+            named.select("symbol").distinct(), "symbol", "left_semi"
+        )
+        status = (
+            planning.candle_period_status(named, stored)
+            if kline
+            else planning.metric_period_status(named, stored, table)
+        )
+        named = planning.missing_periods(status).select(*named.columns)
+    files = available.select(
+        "file", *[F.col(c).alias(f"_{c}") for c in ("symbol", "interval", "period")]
+    ).distinct()
+    same = (
+        (F.col("symbol") == F.col("_symbol"))
+        & F.col("interval").eqNullSafe(F.col("_interval"))
+        & (F.col("period") == F.col("_period"))
+    )
+    path = archives.archive_path(
+        table, F.col("symbol"), F.coalesce("interval", F.lit("")), F.col("period"), F.col("is_monthly")
+    )
+    found = named.join(files, same, "left").select(
+        *named.columns,
+        path.alias("path"),
+        "file",
+        F.when(F.col("file").isNull(), "not_found").otherwise("success").alias("status"),
+    )
+    return planning.cut_after_end_of_life(
+        found.withColumn("_series", F.coalesce("interval", F.lit(""))), threshold, ["symbol", "_series"]
+    ).drop("_series")
+
+
+def archives_below(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """(file, symbol, interval, period) of the zipped archives below a folder; no content is read."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.zip")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+        .select(F.col("path").alias("file"))
+    )
+    return archives.with_file_parts(listed, table)
+
+
+@dataclass
+class BuildSummary:
+    """Symbols asked for, periods by status, and what every table's ingest did."""
+
+    symbols: int
+    periods: dict[str, dict[str, int]] = field(default_factory=dict)
+    pruned: dict[str, int] = field(default_factory=dict)
+    ingests: dict[str, IngestSummary] = field(default_factory=dict)
+
+
 def build_warehouse(
     spark: SparkSession,
     root: str,
     listings: DataFrame,
     snapshot_dates: DataFrame,
-    archives: Mapping[str, DataFrame],
+    sources: Mapping[str, DataFrame | str],
     start: date | str,
     end: date | str,
     top_n: int,
@@ -144,29 +247,58 @@ def build_warehouse(
     exclude_tags: Sequence[str] | None = None,
     exclude_symbols: Sequence[str] | None = None,
     anomaly_path: str | None = None,
-) -> dict[str, IngestSummary]:
-    """Snapshots, then the symbols they ask for, then their archives, then optional repair.
+    intervals: Sequence[str] = ("5m",),
+    as_of: date | str | None = None,
+) -> BuildSummary:
+    """Snapshots, the symbols they ask for, the files these lack, their rows, then repair.
 
-    ``archives`` maps a table to archive lines. Candles outside the date range are not kept.
+    ``sources`` maps a table to a folder of zipped archives, or to archive lines that are staged
+    already. Only files that are planned and not stored completely are opened. Stored candles of
+    the symbols outside the date range are pruned.
     """
+    as_of = as_of or date.today()
     refresh_universe(spark, root, listings, snapshot_dates, exclude_tags, exclude_symbols)
     stored = tables.read_table(spark, root, "crypto_universe")
     symbols = materialise(
         universe.symbol_superset(stored, start, end, top_n, exclude_tags, exclude_symbols),
         "symbols",
     )
-    if symbols.isEmpty():
+    summary = BuildSummary(symbols.count())
+    if not summary.symbols:
         raise ValueError("no symbols in the requested ranks and dates")
     low, high = upsert.close_window(date_literal(start), date_literal(end))
-    summaries = {}
-    for table, lines in archives.items():
-        wanted = lines.join(symbols, "symbol", "left_semi")
-        windows = None
-        if specs.table_spec(table).kind == "kline":
-            windows = wanted.select("file").distinct().select(
-                "file", low.alias("window_start"), high.alias("window_end")
-            )
-        summaries[table] = ingest_lines(spark, root, table, wanted, windows, anomaly_path)
+    for table, source in sources.items():
+        kline = specs.table_spec(table).kind == "kline"
+        zipped = isinstance(source, str)
+        available = (
+            archives_below(spark, source, table)
+            if zipped
+            else source.select("file", "symbol", "interval", "period").distinct()
+        )
+        plan = materialise(
+            wanted_files(spark, root, table, symbols, available, intervals, start, end, as_of),
+            f"plan-{table}",
+        )
+        summary.periods[table] = {
+            r["status"]: r["count"] for r in plan.groupBy("status").count().collect()
+        }
+        found = plan.where("status = 'success'")
+        if zipped:
+            # The list of files to open is what a reader holds on the driver in any case.
+            paths = [r["file"] for r in found.select("file").collect()]
+            lines = archives.read_zipped(spark, paths, table) if paths else None
+        else:
+            lines = source.join(found.select("file"), "file", "left_semi")
+        if lines is not None and not found.isEmpty():
+            windows = None
+            if kline:
+                windows = found.select(
+                    "file", low.alias("window_start"), high.alias("window_end")
+                ).distinct()
+            summary.ingests[table] = ingest_lines(spark, root, table, lines, windows, anomaly_path)
+        if kline and tables.table_exists(spark, root, table):
+            names = plan.select("symbol").unionByName(symbols.select("symbol")).distinct()
+            summary.pruned[table] = tables.prune(spark, root, table, names, intervals, low, high)
     if backfills:
         repair_tables(spark, root, backfills)
-    return summaries
+    return summary

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import specs
@@ -214,6 +214,36 @@ def replace_dates(
     _overwrite_partitions(spark, root, table, content, touched)
 
 
+def prune(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    symbols: DataFrame,
+    intervals: Sequence[str],
+    start: Column,
+    end: Column,
+) -> int:
+    """Remove the symbols' stored candles of the intervals outside ``(start, end]``; their number.
+
+    Only partitions that hold such candles are rewritten.
+    """
+    stored = read_table(spark, root, table, intervals=intervals)
+    marked = symbols.select("symbol", F.lit(True).alias("_ours")).distinct()
+    outside = (F.col("timestamp") <= start) | (F.col("timestamp") > end)
+    gone = F.coalesce(F.col("_ours"), F.lit(False)) & (F.col("exchange") == specs.EXCHANGE) & outside
+    reach = materialise(
+        stored.join(marked, "symbol").where(gone).groupBy(*_partitions(table)).agg(F.count("*").alias("_gone")),
+        f"prune-{table}",
+    )
+    removed = reach.agg(F.sum("_gone")).first()[0]
+    if not removed:
+        return 0
+    touched = stored.join(reach, _partitions(table), "left_semi")
+    content = touched.join(marked, "symbol", "left").where(~gone)
+    _overwrite_partitions(spark, root, table, content, touched)
+    return removed
+
+
 def export(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write a filtered series as parquet or CSV."""
     if fmt not in ("parquet", "csv"):
