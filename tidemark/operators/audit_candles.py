@@ -175,7 +175,7 @@ def row_check(df: DataFrame, flag: str, config: specs.AuditConfig | None = None)
 
 
 # ---------------------------------------------------------------------------
-# Key checks: both read the same distinct timestamps
+# Key checks over distinct timestamps; gaps are those of one exchange
 # ---------------------------------------------------------------------------
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Surplus rows per series on the primary key."""

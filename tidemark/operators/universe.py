@@ -73,42 +73,61 @@ def join_month_snapshot(universe: DataFrame, candles: DataFrame) -> DataFrame:
     return prices.join(snapshots, ["_pair", "date"]).drop("_pair")
 
 
-def snapshot_for_days(universe: DataFrame, days: DataFrame) -> DataFrame:
-    """The snapshot usable on each day: the latest one dated at least a day earlier.
+def snapshot_ranges(universe: DataFrame) -> DataFrame:
+    """Every snapshot date with the days on which it is the latest known: after it, up to the next.
 
-    Works on distinct calendar days only, one row per day and never more than the history
-    has days, which is why one ordered window over them is enough.
+    One row for each snapshot date, which is why one ordered window over them is enough. The
+    newest has no last day.
     """
-    usable = universe.select(F.date_add("date", 1).alias("day"), F.col("date").alias("snapshot")).distinct()
-    asked = days.select("day", F.lit(None).cast("date").alias("snapshot")).distinct()
-    so_far = Window.partitionBy(F.lit(1)).orderBy("day").rangeBetween(Window.unboundedPreceding, 0)
+    by_date = Window.partitionBy(F.lit(1)).orderBy("snapshot")
     return (
-        usable.unionByName(asked)
-        .groupBy("day")
-        .agg(F.max("snapshot").alias("snapshot"))
-        .withColumn("snapshot", F.last("snapshot", ignorenulls=True).over(so_far))
-        .where(F.col("snapshot").isNotNull())
+        universe.select(F.col("date").alias("snapshot"))
+        .distinct()
+        .select("snapshot", F.date_add("snapshot", 1).alias("_from"), F.lead("snapshot").over(by_date).alias("_to"))
     )
 
 
 def join_latest_snapshot(universe: DataFrame, candles: DataFrame) -> DataFrame:
-    """Candles with the latest ranking known before their trading day (no look-ahead)."""
-    prices = candles.where(F.col("exchange") == specs.EXCHANGE).select(
-        F.col("symbol").alias("_pair"),
-        "timestamp",
-        F.to_date(just_before("timestamp")).alias("day"),
-        "close",
-        "volume",
+    """Candles with the latest ranking known before their trading day (no look-ahead).
+
+    The ranking is spread over the months of its range and meets the candles on (pair, month),
+    with the range as a residual condition: the candles are read and moved once. Days past the
+    newest snapshot count as its first month.
+    """
+    ranges = snapshot_ranges(universe)
+    newest = F.broadcast(ranges.agg(F.trunc(F.max("_from"), "MM").alias("_newest")))
+    prices = (
+        candles.where(F.col("exchange") == specs.EXCHANGE)
+        .select(
+            F.col("symbol").alias("_pair"),
+            "timestamp",
+            F.to_date(just_before("timestamp")).alias("day"),
+            "close",
+            "volume",
+        )
+        .crossJoin(newest)
+        .withColumn("_month", F.least(F.trunc("day", "MM"), F.col("_newest")))
+    )
+    months = F.sequence(
+        F.trunc("_from", "MM"), F.trunc(F.coalesce("_to", "_from"), "MM"), F.expr("interval 1 month")
     )
-    usable = snapshot_for_days(universe, prices.select("day"))
-    members = universe.select(
-        F.col("date").alias("snapshot"),
-        "symbol",
-        "rank",
-        "market_cap",
-        pair_symbol("symbol").alias("_pair"),
+    members = (
+        universe.select(
+            F.col("date").alias("snapshot"),
+            "symbol",
+            "rank",
+            "market_cap",
+            pair_symbol("symbol").alias("_pair"),
+        )
+        .join(ranges, "snapshot")
+        .withColumn("_month", F.explode(months))
+    )
+    known = (F.col("day") >= F.col("_from")) & F.coalesce(F.col("day") <= F.col("_to"), F.lit(True))
+    return (
+        prices.join(members, ["_pair", "_month"])
+        .where(known)
+        .select("snapshot", "day", "timestamp", "close", "volume", "symbol", "rank", "market_cap")
     )
-    return prices.join(usable, "day").join(members, ["snapshot", "_pair"]).drop("_pair")
 
 
 def stitch_renamed(candles: DataFrame, names: DataFrame) -> DataFrame:

@@ -492,28 +492,38 @@ def plan_metric_files(spark, folder):
     "archive_paths",
     with_views(
         """
-SELECT symbol, strftime(m, '%Y-%m') AS period,
-       'data/spot/monthly/klines/' || symbol || '/1d/' || symbol || '-1d-' || strftime(m, '%Y-%m') || '.zip'
-           AS spot,
-       'data/futures/um/monthly/klines/' || symbol || '/1d/' || symbol || '-1d-' || strftime(m, '%Y-%m')
-           || '.zip' AS futures,
-       'data/futures/um/daily/metrics/' || symbol || '/' || symbol || '-metrics-' || strftime(m, '%Y-%m')
-           || '.zip' AS open_interest,
-       'data/futures/um/monthly/fundingRate/' || symbol || '/' || symbol || '-fundingRate-'
-           || strftime(m, '%Y-%m') || '.zip' AS funding_rates FROM months
+SELECT symbol, month AS period,
+       'data/spot/monthly/klines/' || symbol || '/1d/' || symbol || '-1d-' || month || '.zip' AS spot,
+       'data/futures/um/monthly/klines/' || symbol || '/1d/' || symbol || '-1d-' || month || '.zip' AS futures,
+       'data/futures/um/monthly/fundingRate/' || symbol || '/' || symbol || '-fundingRate-' || month || '.zip'
+           AS funding_rates,
+       'data/spot/daily/klines/' || symbol || '/1d/' || symbol || '-1d-' || month || '-15.zip' AS spot_day,
+       'data/futures/um/daily/klines/' || symbol || '/1d/' || symbol || '-1d-' || month || '-15.zip' AS futures_day,
+       'data/futures/um/daily/metrics/' || symbol || '/' || symbol || '-metrics-' || month || '-15.zip' AS open_interest
+FROM (SELECT symbol, strftime(m, '%Y-%m') AS month FROM months)
 """,
         "k1d",
         extra=RANGE_CTES,
     ),
 )
 def archive_paths(spark, folder):
+    """Monthly files of candles and funding, daily files of candles and open interest."""
     months = pl.months(_ranges(spark, folder))
+    day = F.concat("period", F.lit("-15"))
+    shapes = {
+        "spot": ("spot", True),
+        "futures": ("futures", True),
+        "funding_rates": ("funding_rates", True),
+        "spot_day": ("spot", False),
+        "futures_day": ("futures", False),
+        "open_interest": ("open_interest", False),
+    }
     return months.withColumns(
         {
-            table: archives.archive_path(
-                table, F.col("symbol"), F.lit("1d"), F.col("period"), F.lit(True)
+            name: archives.archive_path(
+                table, F.col("symbol"), F.lit("1d"), F.col("period") if monthly else day, F.lit(monthly)
             )
-            for table in ("spot", "futures", "open_interest", "funding_rates")
+            for name, (table, monthly) in shapes.items()
         }
     )
 
@@ -786,13 +796,19 @@ def upsert_new_rows(spark, folder):
 @add(
     "dedupe_incoming",
     with_views(
-        'SELECT symbol, "timestamp", any_value(open) AS open, any_value(volume) AS volume '
-        'FROM dirty GROUP BY exchange, symbol, "interval", "timestamp"',
+        """
+SELECT symbol, "timestamp", min(open) - CASE WHEN CAST(epoch("timestamp") AS BIGINT) // 3600 % 2 = 0 THEN 1 ELSE 0 END AS open,
+       any_value(volume) AS volume
+FROM dirty GROUP BY exchange, symbol, "interval", "timestamp"
+""",
         "dirty",
     ),
 )
 def dedupe_incoming(spark, folder):
-    found = up.dedupe_incoming(views.dirty_candles(spark, folder), "spot")
+    """Every row comes a second time with another open, lower in even hours and higher in odd ones."""
+    rows = views.dirty_candles(spark, folder)
+    other = F.col("open") + F.when(_hour() % 2 == 0, -1).otherwise(1)
+    found = up.dedupe_incoming(rows.unionByName(rows.withColumn("open", other)), "spot")
     return found.select("symbol", "timestamp", "open", "volume")
 
 
