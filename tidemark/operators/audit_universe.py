@@ -173,11 +173,8 @@ def rank_coverage(df: DataFrame, config: specs.AuditConfig) -> DataFrame:
     )
 
 
-def missing_rank_slots(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
-    """(date, rank) slots from 1 to the deepest rank that no row fills.
-
-    Only the ranks next to a hole are expanded, so a complete snapshot costs nothing.
-    """
+def rank_holes(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
+    """Runs of ranks (date, _low, _high) from 1 to the deepest rank that no row fills."""
     config = config or specs.AuditConfig()
     ranks = within_bounds(df, config).select("date", "rank").distinct()
     if config.universe_top_n is not None:
@@ -192,11 +189,19 @@ def missing_rank_slots(df: DataFrame, config: specs.AuditConfig | None = None) -
     ordered = with_previous(
         ranks, ["date"], ["rank"], ["rank"], F.floor(F.col("rank") / RANK_SLICE).cast("bigint")
     )
-    holes = ordered.select(
+    return ordered.select(
         "date",
         (F.coalesce("prev_rank", F.lit(0)) + 1).alias("_low"),
         (F.col("rank") - 1).alias("_high"),
     ).where(F.col("_low") <= F.col("_high"))
+
+
+def missing_rank_slots(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
+    """(date, rank) slots from 1 to the deepest rank that no row fills.
+
+    Only the ranks next to a hole are expanded, so a complete snapshot costs nothing.
+    """
+    holes = rank_holes(df, config)
     # Expanded block by block, so that one absurd rank does not become one huge array.
     blocks = holes.withColumn(
         "_at", F.explode(F.sequence(F.col("_low"), F.col("_high"), F.lit(RANK_SLICE)))
@@ -207,16 +212,20 @@ def missing_rank_slots(df: DataFrame, config: specs.AuditConfig | None = None) -
 
 def missing_ranks(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
     """Total of missing rank slots with affected dates, deepest slot and first examples."""
-    slots = missing_rank_slots(df, config)
-    totals = slots.agg(
-        F.count("*").alias("bad_count"),
+    holes = rank_holes(df, config)
+    totals = holes.agg(
+        F.sum((F.col("_high") - F.col("_low") + 1).cast("bigint")).alias("bad_count"),
         F.count_distinct("date").alias("affected_dates"),
         F.min("date").alias("first_timestamp"),
         F.max("date").alias("last_timestamp"),
-        F.max("rank").alias("max_missing_rank"),
+        F.max("_high").alias("max_missing_rank"),
     )
+    # The first slots lie in the first holes; no other is expanded.
+    first = holes.orderBy("date", "_low").limit(SAMPLE)
+    slots = F.sequence("_low", F.least(F.col("_high"), F.col("_low") + (SAMPLE - 1)))
     examples = (
-        slots.orderBy("date", "rank")
+        first.select("date", F.explode(slots).alias("rank"))
+        .orderBy("date", "rank")
         .limit(SAMPLE)
         .agg(
             F.sort_array(
