@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -26,6 +27,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

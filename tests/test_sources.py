@@ -399,3 +399,30 @@ def test_zip_member_is_read_in_batches(monkeypatch):
     assert [len(p) for p in parts] == [7, 7, 6]
     whole = pd.concat(parts)
     assert list(whole["line_no"]) == list(range(20)) and list(whole["line"]) == [str(i) for i in range(20)]
+
+
+def test_a_cluster_session_without_shared_folder_is_refused(spark, monkeypatch):
+    from tidemark import session
+
+    class Settings:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Settings()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Settings(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+    stored = session.materialise(spark.range(3), "three")
+    assert stored.count() == 3 and Path(stored._stored_at.removeprefix("file:")).exists()
+    session.discard(stored)
+    assert not Path(stored._stored_at.removeprefix("file:")).exists()
