@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import configure, materialise
+from tidemark.session import configure, discard, materialise
 
 #: Shuffle files go as soon as the query that wrote them is over; kept frames do not need them.
 LLM_SETTINGS = {
@@ -48,7 +48,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-    return materialise(moved.where("a <> b").distinct(), "edges")
+    found = materialise(moved.where("a <> b").distinct(), "edges")
+    discard(least, edges)
+    return found
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

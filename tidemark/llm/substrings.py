@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.words import anchors, as_bytes, least_phrases, sequence_hashes, word_hashes
-from tidemark.session import materialise
+from tidemark.session import discard, materialise
 
 #: Bytes of text in a shard, on average.
 SHARD_BYTES = 4 << 20
@@ -50,7 +50,9 @@ def _recurring(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     """
     stored = materialise(rows, f"{label}-seen")
     twice = materialise(stored.groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 1").select(*keys), f"{label}-twice")
-    return materialise(stored.join(twice, keys, "left_semi").select("shard", *keys).distinct(), label)
+    found = materialise(stored.join(twice, keys, "left_semi").select("shard", *keys).distinct(), label)
+    discard(stored, twice)
+    return found
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -74,22 +76,31 @@ def _anchor_rows(window: int, phrase: int):
     return rows
 
 
-def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), dtype=bool)
-    at = np.searchsorted(ordered, values)
-    at[at == len(ordered)] = 0
-    return ordered[at] == values
+class HashSet:
+    """Distinct 64-bit hashes in order, with a table of their low bits that rules most others out."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.ordered = np.unique(hashes)
+        self.mask = np.uint64((1 << max(10, (8 * len(self.ordered)).bit_length())) - 1)
+        self.table = np.zeros(int(self.mask) + 1, dtype=bool)
+        self.table[(self.ordered & self.mask).astype(np.int64)] = True
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        """Places of the values that are in the set."""
+        may = np.flatnonzero(self.table[(values & self.mask).astype(np.int64)])
+        at = np.searchsorted(self.ordered, values[may])
+        at[at == len(self.ordered)] = 0
+        return may[self.ordered[at] == values[may]] if len(self.ordered) else may[:0]
 
 
 def _window_rows(window: int, phrase: int):
     def rows(key: tuple, texts: pa.Table, routed: pa.Table) -> pa.Table:
-        known = np.sort(_unsigned(routed.column("anchor")))
+        known = HashSet(_unsigned(routed.column("anchor")))
         first, second = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for text in as_bytes(texts.column("text")) if len(known) else ():
+        for text in as_bytes(texts.column("text")) if len(known.ordered) else ():
             hashes = word_hashes(text)
-            candidates = _member(least_phrases(hashes, phrase, window), known)
-            if candidates.any():
+            candidates = known.places(least_phrases(hashes, phrase, window))
+            if len(candidates):
                 first.append(sequence_hashes(hashes, window)[candidates])
                 second.append(sequence_hashes(word_hashes(text, 1), window, 1)[candidates])
         (one, two), n = _distinct(np.concatenate(first), np.concatenate(second))
@@ -100,10 +111,10 @@ def _window_rows(window: int, phrase: int):
     return rows
 
 
-def _starts(text: bytes, window: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def _starts(text: bytes, window: int, known: HashSet, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Starts of the confirmed windows of a text; (one, two) are their hashes in order."""
     grams = sequence_hashes(word_hashes(text), window)
-    places = np.flatnonzero(_member(grams, one))
+    places = known.places(grams)
     if not len(places):
         return places
     first, other = grams[places], sequence_hashes(word_hashes(text, 1), window, 1)[places]
@@ -132,11 +143,11 @@ def locate(texts: list[bytes], window: int, one: np.ndarray, two: np.ndarray) ->
     """
     import ahocorasick
 
-    numbers: dict[bytes, int] = {}
+    known, numbers = HashSet(one), dict[bytes, int]()
     streams: list[tuple[int, ...] | None] = []
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for text in texts:
-        starts = _starts(text, window, one, two) if len(one) else ()
+        starts = _starts(text, window, known, one, two) if len(one) else ()
         if not len(starts):
             streams.append(None)
             continue
@@ -211,6 +222,7 @@ def remove_repeats(
         .applyInArrow(_window_rows(window, phrase), "h1 long, h2 long, shard int, n int")
     )
     confirmed = _recurring(windows, ["h1", "h2"], "windows")
+    discard(routed)
 
     schema = T.StructType(
         [
