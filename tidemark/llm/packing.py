@@ -66,21 +66,33 @@ class WordEncoder:
             self.by_piece.update(zip(chunk, [packed[x:y] for x, y in pairwise(cuts)], strict=True))
 
     def _learn(self, words: set[bytes]) -> None:
+        # Most words are one piece; the others are kept apart with their pieces.
+        plain: list[bytes] = []
+        lowered: list[str] = []
         cut: list[tuple[bytes, list[str]]] = []
         for word in words:
             text = word.decode("utf-8")
-            if _UNUSUAL.search(text):
+            simple = text.isalpha()
+            if simple and text.isascii():
+                plain.append(word)
+                lowered.append(text.lower())
+            elif _UNUSUAL.search(text):
                 ids = self.whole.encode(text, add_special_tokens=False).ids
                 self.by_word[word] = np.asarray(ids, dtype="<u4").tobytes()
+            elif simple:
+                plain.append(word)
+                lowered.append(text.lower())
             else:
-                text = text.lower()
-                cut.append((word, [text] if text.isalpha() else _PIECE.findall(text)))
+                cut.append((word, _PIECE.findall(text.lower())))
         if len(self.by_piece) > CACHED_WORDS:
             self.by_piece.clear()
-        self._learn_pieces(list({p for _, pieces in cut for p in pieces}.difference(self.by_piece)))
+        pieces = set(lowered)
+        pieces.update(chain.from_iterable(found for _, found in cut))
+        self._learn_pieces(list(pieces.difference(self.by_piece)))
         known = self.by_piece.__getitem__
-        for word, pieces in cut:
-            self.by_word[word] = known(pieces[0]) if len(pieces) == 1 else b"".join(map(known, pieces))
+        self.by_word.update(zip(plain, map(known, lowered), strict=True))
+        for word, found in cut:
+            self.by_word[word] = b"".join(map(known, found))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
@@ -88,9 +100,9 @@ class WordEncoder:
         new = set(chain.from_iterable(words))
         if len(self.by_word) > CACHED_WORDS:
             self.by_word, self.older = {}, self.by_word
-        new.difference_update(self.by_word)
-        self.by_word.update((word, self.older[word]) for word in new.intersection(self.older))
-        self._learn(new.difference(self.older))
+        new = new.difference(self.by_word)
+        self.by_word.update((word, self.older[word]) for word in new if word in self.older)
+        self._learn(new.difference(self.by_word))
         known = self.by_word.__getitem__
         return [b"".join(map(known, found)) for found in words]
 
