@@ -24,7 +24,7 @@ from helpers import (  # noqa: F401  fixtures are imported too
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, quality, simhash, substrings
-from tidemark.llm.labelled import held_out
+from tidemark.llm.labelled import balanced_sample, held_out
 from tidemark.llm.words import anchors, sequence_hashes, word_hashes
 
 FOLDER = "/root/testdata/sf0.01"
@@ -145,6 +145,14 @@ def test_pigeonring_finds_all_components(llm, monkeypatch, compared):
     assert components(len(prints), [(place[r.a], place[r.b]) for r in found]) == hamming_components(prints)
 
 
+def test_samples_are_balanced_and_repeatable(llm):
+    rows = llm.range(20_000).select("id", F.when(F.col("id") % 100 == 0, "rare").when(F.col("id") % 7 != 0, "hot").alias("label"))
+    first, again = (sorted(map(tuple, balanced_sample(rows, "label", "id", 150, 260).collect())) for _ in range(2))
+    counts = {label: sum(r[1] == label for r in first) for label in ("rare", "hot")}
+    assert first == again and len(first) == 260 and max(counts.values()) <= 150 and min(counts.values()) >= 110
+    assert balanced_sample(rows.limit(0), "label", "id", 5, 5).count() == 0
+
+
 def test_language_held_out_accuracy_and_rejection(llm):
     docs = llm.read.parquet(f"{FOLDER}/documents.parquet")
     model = langid.fit_languages(docs, training=~held_out(F.col("doc_id")))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidemark.session import materialise
+
 
 def held_out(key: Column) -> Column:
     """Whether crc32 of the key as text leaves 1 when divided by 3; null counts as empty text."""
@@ -15,17 +17,21 @@ def held_out(key: Column) -> Column:
 def balanced_sample(rows: DataFrame, label: str, key: str, each: int, total: int) -> DataFrame:
     """(key, label): up to ``each`` rows of every label and ``total`` in all, by hash of the key.
 
-    Only the two columns are read. The rank limit is applied in every task before the shuffle, so
-    a label with most rows is no burden.
+    Only the two columns are read. Labels are counted first, and of each only the share of hashes
+    that is expected to hold twice the rows wanted goes on to be ranked, so the label of most rows
+    is no burden; a rare label goes on whole.
     """
-    order = F.xxhash64(key)
+    narrow = rows.where(F.col(label).isNotNull()).select(key, label)
+    counts = materialise(narrow.groupBy(F.col(label).alias("__label")).agg(F.count("*").alias("__n")), "labels")
+    unit = F.pmod(F.xxhash64(key), F.lit(1 << 30))
     ranked = (
-        rows.where(F.col(label).isNotNull())
-        .select(key, label)
-        .withColumn("__rank", F.row_number().over(W.partitionBy(label).orderBy(order, key)))
+        narrow.join(counts, F.col(label) == F.col("__label"))
+        .withColumn("__unit", unit)
+        .where(F.col("__unit").cast("double") * F.col("__n") < float(2 * each) * (1 << 30))
+        .withColumn("__rank", F.row_number().over(W.partitionBy(label).orderBy("__unit", key)))
         .where(F.col("__rank") <= each)
     )
-    return ranked.orderBy("__rank", order, key).limit(total).select(key, label)
+    return ranked.orderBy("__rank", "__unit", key).limit(total).select(key, label)
 
 
 def with_text(docs: DataFrame, sample: DataFrame, key: str, text: str) -> DataFrame:

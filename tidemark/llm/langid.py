@@ -138,8 +138,10 @@ def train(
     heat = min(np.geomspace(0.05, 5, 60), key=lambda t: -np.log(np.maximum(chance(t)[np.arange(len(truth)), truth], 1e-6)).mean())
     final = chance(heat)
     right = final.argmax(axis=1) == truth
-    # Few right answers (one in a thousand) may be rejected, and none with an even chance or more.
-    least = min(0.5, float(np.quantile(final.max(axis=1)[right], 0.001))) if right.any() else 0.5
+    # Few right answers (one in a thousand) may be rejected, and none whose chance lies past the middle
+    # between blind chance and an even one, so that a text in two languages is kept.
+    middle = (1 / len(languages) + 0.5) / 2
+    least = min(middle, float(np.quantile(final.max(axis=1)[right], 0.001))) if right.any() else middle
     familiar = min((float(share @ known[held, 0]) for held, share, _ in kept), default=0.0)
     return LanguageModel(
         languages, np.hstack([table / heat, seen]).astype(np.float32), bias / heat, least, 0.5 * familiar
