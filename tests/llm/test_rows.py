@@ -249,6 +249,18 @@ def test_curves_on_awkward_rows(llm):
     assert [(r.query_id, r.vec_id) for r in curves.nearest(few).collect()] == [(0, 1)]
 
 
+def test_curves_answer_every_query_among_equal_vectors(llm):
+    rows = [(i, [1.0, 0.5], 0) for i in range(1000)] + [(1000, [1.0, 0.6], 0), (1000, [1.0, 0.6], 0)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {}
+    for r in curves.nearest(df).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert sorted(got) == list(range(0, 1001, 50))
+    assert sorted(got[0]) == [(i, i) for i in range(1, 6)]
+    assert all(sorted(got[i]) == [(k + 1, k) for k in range(5)] for i in range(50, 1000, 50))
+    assert sorted(got[1000]) == sorted(2 * [(1, 1000), *((k + 2, k) for k in range(4))])
+
+
 def test_pipeline_stages_equal_brute_force(llm, tmp_path):
     import corpus_pipeline
     from tokenizers import Tokenizer

@@ -71,13 +71,10 @@ def _search_block(keep: int):
             own = queries.column("asked_row").to_numpy()
             for at in range(0, len(asked), 256):
                 near = vectors.unit(asked[at : at + 256]) @ scaled.T
-                near[own[at : at + 256, None] == row[None, :]] = -np.inf
                 edge = np.partition(near, -min(keep, near.shape[1]), axis=1)[:, -min(keep, near.shape[1])]
                 for i, (line, bound) in enumerate(zip(near, edge, strict=True)):
                     # All that may tie with the last one are measured again, the same way for each.
-                    close = np.flatnonzero((line >= bound - 1e-9) & np.isfinite(line))
-                    if not len(close):
-                        continue
+                    close = np.flatnonzero(line >= bound - 1e-9)
                     exact = vectors.cosines(np.broadcast_to(asked[at + i], rows[close].shape), rows[close])
                     best = _best(exact, ids[close], keep)
                     out["query"] += [int(own[at + i])] * len(best)
@@ -106,7 +103,9 @@ def nearest(
     whose vectors have the query's length. Vectors that are null, empty, zero or hold null or
     non-finite components take no part. Ties go to smaller ids, null ids last. With fewer
     candidates all of them are returned; an empty table gives no rows. Of equal vectors only the
-    ``keep`` + 1 of least id can be among any nearest, so only these stand on the curves.
+    ``keep`` + 1 of least id can be among any nearest, so only these stand on the curves. The
+    search is made once for each vector that is asked for, with one neighbour more, and every
+    query of that vector takes the result without its own row.
 
     ``share`` is the part of each curve that a window covers, rounded up to whole blocks. Vectors
     without any structure (independent directions) need a share like the default for nine
@@ -114,14 +113,18 @@ def nearest(
     between cells come from at most ``sample`` rows, chosen by hash; every row is indexed.
     """
     named = df.select(F.col(id_column).cast("long").alias("vec"), F.col(vector_column).alias("vector"))
-    copies = W.partitionBy("vector").orderBy(F.col("vec").asc_nulls_last())
+    copies = W.partitionBy("vector").orderBy(F.col("vec").asc_nulls_last(), "row")
     asks = F.coalesce(F.col("vec") % query_every == 0, F.lit(False))
     stored = materialise(
         named.where(vectors.comparable(F.col("vector"))).withColumn("row", F.monotonically_increasing_id()).withColumn("asks", asks),
         "vectors",
     )
-    rows = stored.withColumn("__copy", F.row_number().over(copies)).where(F.col("__copy") <= keep + 1).drop("__copy")
-    rows = materialise(rows, "indexed")
+    rows = materialise(stored.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= keep + 1), "indexed")
+    # Every query, also one beyond the cap, with the row that is searched for all of its vector.
+    heads = rows.where("copy = 1").select("vector", F.col("row").alias("head"))
+    asking = materialise(
+        stored.where("asks").join(heads, "vector").select("head", F.col("row").alias("own"), F.col("vec").alias("query_id")), "asking"
+    )
 
     picked = rows.orderBy(F.xxhash64("vector"), "row").limit(sample).select("vector").toArrow().column(0).combine_chunks()
     held = vectors.lengths(picked) if len(picked) else np.zeros(0, dtype=np.int64)
@@ -159,7 +162,8 @@ def nearest(
     candidates = placed.select("row", "length", "curve", "block").join(rows.select("row", "vec", "vector"), "row")
     reach = F.ceil(F.col("blocks") * share / 2).cast("long")
     asked = (
-        placed.join(rows.where("asks").select("row", "vector"), "row")
+        placed.join(asking.select(F.col("head").alias("row")).distinct(), "row")
+        .join(rows.select("row", "vector"), "row")
         .withColumn(
             "block",
             F.explode(F.sequence(F.greatest(F.col("block") - reach, F.lit(0)), F.least(F.col("block") + reach, F.col("blocks") - 1))),
@@ -170,15 +174,23 @@ def nearest(
     found = (
         candidates.groupBy(*by)
         .cogroup(asked.groupBy(*[f"asked_{c}" for c in by]))
-        .applyInArrow(_search_block(keep), "query long, row long, vec long, score double")
+        .applyInArrow(_search_block(keep + 1), "query long, row long, vec long, score double")
         .groupBy("query", "row")
         .agg(F.first("vec").alias("vec"), F.first("score").alias("score"))
     )
     best = W.partitionBy("query").orderBy(F.desc("score"), "vec", "row")
-    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep)
-    names = rows.where("asks").select(F.col("row").alias("query"), F.col("vec").alias("query_id"))
-    return top.join(names, "query").select(
-        "query_id", "rank", F.nullif("vec", F.lit(np.iinfo(np.int64).max)).alias("vec_id"), "score"
+    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep + 1)
+    near = top.groupBy(F.col("query").alias("head")).agg(F.array_sort(F.collect_list(F.struct("rank", "row", "vec", "score"))).alias("near"))
+    others = F.slice(F.filter("near", lambda x: x["row"] != F.col("own")), 1, keep)
+    return (
+        asking.join(near, "head")
+        .select("query_id", F.posexplode(others).alias("at", "found"))
+        .select(
+            "query_id",
+            (F.col("at") + 1).alias("rank"),
+            F.nullif("found.vec", F.lit(np.iinfo(np.int64).max)).alias("vec_id"),
+            "found.score",
+        )
     )
 
 
