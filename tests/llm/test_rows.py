@@ -261,6 +261,20 @@ def test_curves_answer_every_query_among_equal_vectors(llm):
     assert sorted(got[1000]) == sorted(2 * [(1, 1000), *((k + 2, k) for k in range(4))])
 
 
+def test_curves_compare_all_rows_of_a_length_without_cuts(llm):
+    rng = np.random.default_rng(5)
+    vectors = np.float32(rng.normal(size=(1000, 12))).astype(float)
+    df = llm.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int")
+    got = {}
+    for r in sorted(curves.nearest(df, sample=0).collect(), key=lambda r: r.rank):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for query in range(0, 1000, 50):
+        scores = unit @ unit[query]
+        scores[query] = -2
+        assert got[query] == np.argsort(-scores)[:5].tolist()
+
+
 def test_pipeline_stages_equal_brute_force(llm, tmp_path):
     import corpus_pipeline
     from tokenizers import Tokenizer

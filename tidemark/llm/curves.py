@@ -110,7 +110,8 @@ def nearest(
     ``share`` is the part of each curve that a window covers, rounded up to whole blocks. Vectors
     without any structure (independent directions) need a share like the default for nine
     neighbours in ten; where near vectors stand close together a far smaller one does. The cuts
-    between cells come from at most ``sample`` rows, chosen by hash; every row is indexed.
+    between cells come from at most ``sample`` rows, chosen by hash; every row is indexed. A query
+    of a length that is not among these rows is compared with all rows of its length.
     """
     named = df.select(F.col(id_column).cast("long").alias("vec"), F.col(vector_column).alias("vector"))
     copies = W.partitionBy("vector").orderBy(F.col("vec").asc_nulls_last(), "row")
@@ -136,7 +137,7 @@ def nearest(
             for length in np.unique(size):
                 at = np.flatnonzero(size == length)
                 part = vectors.matrix(batch.column(1).take(pa.array(at)))
-                # A length that the sample missed has no cuts; its rows share one place and are all compared.
+                # A length that the sample missed has no cuts; its rows share one place, and windows reach all its blocks.
                 found = curve_positions(part, cuts[int(length)], width) if int(length) in cuts else np.zeros((len(at), 1), np.int64)
                 n = found.shape[1]
                 yield pa.RecordBatch.from_arrays(
@@ -160,7 +161,7 @@ def nearest(
         "placed",
     )
     candidates = placed.select("row", "length", "curve", "block").join(rows.select("row", "vec", "vector"), "row")
-    reach = F.ceil(F.col("blocks") * share / 2).cast("long")
+    reach = F.when(F.col("length").isin(list(cuts)), F.ceil(F.col("blocks") * share / 2)).otherwise(F.col("blocks")).cast("long")
     asked = (
         placed.join(asking.select(F.col("head").alias("row")).distinct(), "row")
         .join(rows.select("row", "vector"), "row")
