@@ -220,3 +220,13 @@ def test_substring_sql_twin_equals_brute_force():
     for i, kept in enumerate(removed_words(texts, 35)):
         n = len(words(texts[i]))
         assert got[i] == (n, n - len(kept), sha256(kept))
+
+
+def test_quality_trains_on_limited_rows_also_for_repeated_ids(llm, documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda values, truth: seen.append(truth.tolist()) or quality.AdditiveModel(0.0))
+    docs = documents([(1, prose(i, 20), None, None, None) for i in range(40)] + [(i, prose(i, 9), None, None, None) for i in (2, 3)])
+    labels = llm.createDataFrame([(1, 1)] * 20 + [(2, 0), (3, 0)], "doc_id long, quality int")
+    quality.fit_quality(docs, labels, limit=50)
+    quality.fit_quality(docs.where("doc_id > 1"), labels, limit=50)
+    assert seen == [[0.0] * 2 + [1.0] * 48, [0.0] * 2]

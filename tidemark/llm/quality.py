@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.words import as_bytes
+from tidemark.session import materialise
 
 FEATURES = (
     "log_bytes",
@@ -242,8 +243,10 @@ def fit_quality(
     """Train on at most ``limit`` labelled rows, chosen by hash of the id, with their whole texts.
 
     ``training`` is a condition on the label rows. Labels other than 0 and 1 are left out; rows
-    that repeat count as often as they come. Texts become features in the tasks, and only those
-    reach the driver. Without any labelled row every score is 0.5.
+    that repeat count as often as they come, up to ``limit`` pairs of a label and a text in all:
+    first one text of every id, then other texts, then copies. Texts become features in the
+    tasks, and at most ``limit`` rows of these reach the driver. Without any labelled row every
+    score is 0.5.
     """
     wanted = labels if training is None else labels.where(training)
     sample = (
@@ -251,6 +254,8 @@ def fit_quality(
         .select(id_column, F.col(label_column).cast("int").alias("__label"))
         .orderBy(F.xxhash64(id_column), id_column, "__label")
         .limit(limit)
+        .groupBy(id_column, "__label")
+        .agg(F.count("*").alias("__times"))
     )
     rows = docs.select(id_column, text_column).join(F.broadcast(sample), id_column)
 
@@ -258,14 +263,29 @@ def fit_quality(
         for batch in batches:
             found = [features(text) for text in as_bytes(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["label", "features"]
+                [*batch.columns[1:], pa.array(found, pa.list_(pa.float64()))], names=["id", "label", "times", "features"]
             )
 
-    found = rows.select(text_column, "__label").mapInArrow(measure, "label int, features array<double>").toArrow()
+    measured = rows.select(text_column, F.xxhash64(id_column), "__label", "__times").mapInArrow(
+        measure, "id long, label int, times long, features array<double>"
+    )
+    # Equal rows combine in the tasks; of each id and label one row goes before all others.
+    by = ["id", "label"]
+    distinct = materialise(measured.groupBy(*by, "features").agg(F.sum("times").alias("times")), "measured")
+    first = distinct.groupBy(*by).agg(F.min(F.xxhash64("features")).alias("first"))
+    found = (
+        distinct.join(F.broadcast(first), by)
+        .orderBy(F.xxhash64("features") != F.col("first"), F.xxhash64(*by, "features"), *by, "features")
+        .limit(limit)
+        .select("label", "times", "features")
+        .toArrow()
+    )
     if not found.num_rows:
         return AdditiveModel(0.0)
-    values = np.array(found.column("features").to_pylist(), dtype=float)
-    truth = np.array(found.column("label").to_pylist(), dtype=float)
+    more = np.minimum(np.cumsum(found.column("times").to_numpy() - 1), limit - found.num_rows)
+    times = 1 + np.diff(more, prepend=0)
+    values = np.repeat(np.array(found.column("features").to_pylist(), dtype=float), times, axis=0)
+    truth = np.repeat(np.array(found.column("label").to_pylist(), dtype=float), times)
     order = np.lexsort((*values.T, truth))  # the order of rows in a scan is open; the model is not
     return train(values[order], truth[order])
 
