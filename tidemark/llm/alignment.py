@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 from tidemark.session import discard, materialise
 
 #: Bytes of text whose links are counted together and share one set of corpus counts.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Chunks in each of the two generations of a worker's cache, and the longest chunk kept there.
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 200_000
 CACHED_LENGTH = 64
 #: Ids are below 2 ** ID_BITS; a link is the number a * 2 ** ID_BITS + b.
 ID_BITS = 20
