@@ -101,11 +101,12 @@ def train(
 ) -> LanguageModel:
     """A model of (buckets, counts, language) examples; a fifth of them calibrates it."""
     languages = sorted({language for _, _, language in examples})
-    if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 1), np.float32), np.zeros(0), 0.0, 0.0)
-    rng = np.random.default_rng(seed)
     place = {language: i for i, language in enumerate(languages)}
     rows = [(held, counts / counts.sum(), place[language]) for held, counts, language in examples if len(held)]
+    if not rows:
+        # Nothing to learn from: every text is without a language.
+        return LanguageModel([], np.zeros((BUCKETS, 1), np.float32), np.zeros(0), 0.0, 0.0)
+    rng = np.random.default_rng(seed)
     kept, fitted = rows[::5], [row for i, row in enumerate(rows) if i % 5] or rows
     inner = rng.uniform(-1 / width, 1 / width, (BUCKETS, width))
     outer, bias = rng.normal(0, 1 / width**0.5, (width, len(languages))), np.zeros(len(languages))
@@ -160,10 +161,13 @@ def fit_languages(
     """Train on at most ``each`` rows of every language, ``total`` in all, with their whole texts.
 
     ``training`` marks the rows that may be learned from. Texts are turned into bucket counts in
-    the tasks (at most 2 ** 15 numbers a text); only those reach the driver.
+    the tasks (at most 2 ** 15 numbers a text); only those reach the driver. Rows without a
+    language are left out; of rows that share an id, each text keeps its own language, and rows
+    that repeat count as often as they are drawn. Without any labelled text that has an n-gram no
+    language is learned.
     """
     allowed = docs if training is None else docs.where(training)
-    sample = balanced_sample(allowed, language_column, id_column, each, total)
+    sample = balanced_sample(allowed, language_column, id_column, each, total, text_column)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,17 +178,18 @@ def fit_languages(
                     batch.column(2),
                     pa.array([h.astype("<u2").tobytes() for h, _ in found], pa.binary()),
                     pa.array([c.astype("<u4").tobytes() for _, c in found], pa.binary()),
+                    batch.column(3),
                 ],
-                names=["key", "language", "held", "counts"],
+                names=["key", "language", "held", "counts", "times"],
             )
 
     rows = (
-        with_text(allowed, sample, id_column, text_column)
-        .select(id_column, text_column, language_column)
-        .mapInArrow(counts, "key string, language string, held binary, counts binary")
+        with_text(allowed, sample, id_column, language_column, text_column)
+        .mapInArrow(counts, "key string, language string, held binary, counts binary, times long")
         .toArrow()
         .to_pylist()
     )
+    rows = [row for row in rows for _ in range(row["times"])]
     rows.sort(key=lambda r: (r["key"] or "", r["language"], r["held"]))
     order = np.random.default_rng(1).permutation(len(rows))
     return train(
