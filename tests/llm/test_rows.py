@@ -102,7 +102,7 @@ def test_shards_are_even_runs_of_the_curve(documents, n):
     draw = random.Random(n)
     rows = [(i if i % 9 else None, prose(i % 40, i % 30), draw.choice(["en", None]), draw.choice(["s", "s", None]), None) for i in range(n)]
     docs = documents(rows).withColumn("shard", F.lit("clash"))
-    dimensions = {"source": sharding.leading_bytes(F.col("source")), "chars": F.length("text"), "id": F.col("doc_id")}
+    dimensions = {"source": sharding.value_cells(docs, "source"), "chars": F.length("text"), "id": F.col("doc_id")}
     got = sharding.shard_along_curve(docs, dimensions, ("text", "doc_id")).collect()
     assert len(got) == n
     counts = [[r.slot for r in got if r.shard == s] for s in range(24)]

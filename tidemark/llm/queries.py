@@ -89,8 +89,8 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(text).alias("text_crc32"),
     )
     dimensions = {
-        "source": sharding.leading_bytes(F.col("source")),
-        "lang": sharding.leading_bytes(F.col("lang")),
+        "source": sharding.value_cells(docs, "source"),
+        "lang": sharding.value_cells(docs, "lang"),
         "size": F.col("size"),
         "doc_id": F.col("doc_id"),
     }

@@ -16,13 +16,41 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark.llm.hilbert import hilbert_index
-from tidemark.session import materialise
+from tidemark.session import discard, materialise
 
 
-def leading_bytes(text: Column) -> Column:
-    """A number that orders texts by their first six UTF-8 bytes; null comes first."""
-    digits = F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(digits, 16, 10).cast("double"), F.lit(-1.0))
+def value_cells(df: DataFrame, column: str, cells: int = 64) -> Column:
+    """A number for each text of a column that orders whole values and holds like shares of rows.
+
+    Values are counted, put in order over several tasks, and cut where the rows below a value pass
+    a multiple of rows / cells. Only the least value of each cell, ``cells`` at most, reaches the
+    driver. Null comes first.
+    """
+    running = W.partitionBy("__part").orderBy("__v").rowsBetween(W.unboundedPreceding, -1)
+    counted = materialise(
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("__v"))
+        .agg(F.count("*").alias("__n"))
+        .repartitionByRange("__v")
+        .withColumn("__part", F.spark_partition_id()),
+        "values",
+    )
+    # One row for each partition.
+    parts = counted.groupBy("__part").agg(F.min("__v").alias("__first"), F.sum("__n").alias("__held"))
+    earlier = W.orderBy("__first").rowsBetween(W.unboundedPreceding, -1)
+    everything = W.orderBy("__first").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    placed = parts.select(
+        "__part", F.coalesce(F.sum("__held").over(earlier), F.lit(0)).alias("__before"), F.sum("__held").over(everything).alias("__all")
+    )
+    below = F.coalesce(F.sum("__n").over(running), F.lit(0)) + F.col("__before")
+    cell = F.expr(f"__below * {int(cells)} div __all")
+    least = counted.join(placed, "__part").withColumn("__below", below).groupBy(cell.alias("__cell")).agg(F.min("__v").alias("__v"))
+    cuts = sorted((row["__v"] for row in least.collect()), key=lambda v: v.encode())
+    discard(counted)
+    if not cuts:
+        return F.lit(-1.0)
+    passed = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= F.col(column)))
+    return F.when(F.col(column).isNull(), F.lit(-1.0)).otherwise(passed.cast("double"))
 
 
 def curve_key(df: DataFrame, dimensions: Mapping[str, Column], bits: int) -> Column:
