@@ -1,7 +1,9 @@
 """From raw documents to packed token sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read
-again as the docs of the next one. All but the last return the columns of ``documents``.
+again as the docs of the next one. All but the last return the columns of their docs: those that
+they read (``READ``) and any others, also ones named like a result of an operator. Every row is a
+document of its own, also rows that repeat; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -16,17 +18,33 @@ from tidemark.llm.shared import prepare
 from tidemark.session import materialise
 
 
+#: Columns that the stages read. All others are only carried.
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def set_aside(docs: DataFrame) -> DataFrame:
+    """The carried columns under names that no operator gives to its results."""
+    return docs.toDF(*[c if c in READ else f"__carried_{i}" for i, c in enumerate(docs.columns)])
+
+
+def restored(found: DataFrame, aside: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, in order and under their names."""
+    return found.select(*[F.col(a).alias(c) for a, c in zip(aside.columns, docs.columns, strict=True)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is recognised; the others go, as do texts without letters."""
     prepare(spark)
-    model = langid.fit_languages(docs, training=~held_out(F.col("doc_id")))
-    return langid.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    aside = set_aside(docs)
+    model = langid.fit_languages(aside, training=~held_out(F.col("doc_id")))
+    return restored(langid.identify(aside, model).where(~F.col("rejected")), aside, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the least id."""
+    """One document of each group of near duplicates: that of the least id. Texts without words are alike."""
     prepare(spark)
-    return simhash.near_duplicates(docs).where("kept").select(*docs.columns)
+    aside = set_aside(docs)
+    return restored(simhash.near_duplicates(aside).where("kept"), aside, docs)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,21 +54,23 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     all other texts stay as they are. A document that loses all its words stays, empty.
     """
     prepare(spark)
-    cleaned = substrings.remove_repeats(docs)
+    aside = set_aside(docs)
+    cleaned = substrings.remove_repeats(aside)
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept")).otherwise(F.col("text"))
     new = {"text": text, "n_chars": F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars"))}
-    return cleaned.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return restored(cleaned.withColumns(new), aside, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; null texts have size 0, and a null source is a source."""
     prepare(spark)
-    return mixing.take(mixing.mix(docs), docs.columns)
+    aside = set_aside(docs)
+    return restored(mixing.take(mixing.mix(aside), aside.columns), aside, docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths with their token ids."""
+    """Pieces of power-of-two lengths with their token ids; a null text is an empty one, of one id."""
     prepare(spark)
     return packing.pack(docs, tokenizer_path())
 
