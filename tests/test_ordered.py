@@ -132,3 +132,57 @@ def test_group_stats_reach_every_row(spark):
     stats = spark.createDataFrame([("hot", 7)], "g string, s int")
     joined = quantiles.join_group_stats(rows, stats, ["g"], ["id"])
     assert joined.count() == 1_000 and joined.where("s = 7").count() == 1_000
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=True, allow_infinity=True), min_size=1, max_size=80))
+def test_keys_order_doubles_and_give_them_back(spark, values):
+    edges = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1e-310]
+    edges += [float("inf"), float("-inf"), float("nan")] + [2.0**e * m for e in (-1022, -53, 0, 52, 1023) for m in (1, 1 - 2**-53, 1 + 2**-52)]
+    df = spark.createDataFrame([(v,) for v in values + edges], "v double").withColumn("k", quantiles.ordered_key("v"))
+    rows = [(r["v"], r["k"], r["b"]) for r in df.withColumn("b", quantiles.ordered_value("k")).collect()]
+    order = lambda v: (np.isnan(v), 0.0 if np.isnan(v) else v)
+    for v, _, back in rows:
+        assert back == v or (np.isnan(v) and np.isnan(back))
+    by_key = [order(v) for v, _, _ in sorted(rows, key=lambda r: r[1])]
+    assert by_key == sorted(by_key)
+    assert all((a[1] == b[1]) == (order(a[0]) == order(b[0])) for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_counted_replicas_follow_hot_groups(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ROWS_PER_REPLICA", 100)
+    monkeypatch.setattr(quantiles, "BROADCAST_BYTES", 0)
+    rows = spark.range(30_000).withColumn("g", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 4_000)).repartition(8)
+    stats = rows.groupBy("g").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    for k, v in {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}.items():
+        spark.conf.set(k, v)
+    try:
+        joined = quantiles.join_group_stats(rows, stats, ["g"], ["id"], size="n")
+        # The join's own partitions: no task holds much more than its share of the hot group.
+        held = [len(part) for part in joined.select("id").rdd.glom().collect()]
+        groups = stats.count()
+        copies = stats.select(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / 100)))).first()[0]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sum(held) == 30_000 and joined.where("top IS NULL").count() == 0
+    assert copies < 2 * groups and max(held) < 0.1 * 30_000
+
+
+def test_a_hot_group_is_counted_in_every_task(spark):
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=30_000)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 500}", float(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    found = {r["g"]: (r["n"], r["q"], r["t"]) for r in quantiles.quantiles(df, ["g"], "v", {"q": 0.5, "t": 0.99}).collect()}
+    by = {}
+    for g, v in rows:
+        by.setdefault(g, []).append(v)
+    assert found.keys() == by.keys()
+    for g, held in by.items():
+        assert found[g][0] == len(held) and found[g][1:] == pytest.approx(tuple(np.quantile(held, [0.5, 0.99])), abs=1e-12)
+    # What a task hands on in the first round is a count for each bucket, far fewer than the rows of the hot group.
+    keyed = df.where("g = 'hot'").select(quantiles.ordered_key("v").alias("k"))
+    buckets = keyed.groupBy(F.shiftright("k", 64 - quantiles.ROUNDS[0])).count()
+    assert buckets.agg(F.max("count")).first()[0] < 200

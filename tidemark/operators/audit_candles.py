@@ -287,15 +287,19 @@ def weighted_moments(rows: DataFrame, keys: Sequence[str], value: str) -> DataFr
 def return_outliers(
     df: DataFrame, config: specs.AuditConfig | None = None, returns: DataFrame | None = None
 ) -> DataFrame:
-    """Log returns further than ``price_return_sigma`` deviations from the series mean."""
+    """Log returns further than ``price_return_sigma`` deviations from the series mean.
+
+    The returns are stored once, narrow: the moments and the comparison read them.
+    """
     config = config or specs.AuditConfig()
-    returns = close_returns(df) if returns is None else returns
+    if returns is None:
+        returns = materialise(close_returns(df), "close-returns")
     stats = weighted_moments(returns, REPORT, "log_return").where(
         (F.col("n") >= config.min_outlier_observations) & (F.col("std") > 0)
     )
     far = F.abs(F.col("log_return") - F.col("mean")) > config.price_return_sigma * F.col("std")
     return (
-        join_group_stats(returns, stats, REPORT, ["timestamp"])
+        join_group_stats(returns, stats, REPORT, ["timestamp"], size="n")
         .where(far)
         .groupBy(*REPORT)
         .agg(
@@ -307,25 +311,27 @@ def return_outliers(
     )
 
 
-def return_deviations(returns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Returns with their distance from the series median, and the median distance itself."""
+def with_robust_stats(rows: DataFrame, returns: DataFrame, how: str = "inner") -> DataFrame:
+    """Add each series' number of log returns, their median and the median distance from it."""
     medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight")
-    deviations = join_group_stats(returns, medians, REPORT, ["timestamp"]).withColumn(
+    deviations = join_group_stats(returns, medians, REPORT, ["timestamp"], size="n").withColumn(
         "abs_deviation", F.abs(F.col("log_return") - F.col("median"))
     )
-    mads = quantiles(deviations, REPORT, "abs_deviation", {"mad": 0.5}, "weight")
-    return deviations, mads.drop("n")
+    mads = quantiles(deviations.drop("n"), REPORT, "abs_deviation", {"mad": 0.5}, "weight")
+    found = join_group_stats(rows, medians, REPORT, ["timestamp"], how, size="n").drop("n")
+    return join_group_stats(found, mads, REPORT, ["timestamp"], how, size="n")
 
 
 def is_robust_jump(config: specs.AuditConfig) -> Column:
     """Relative jump that is also far out in units of the series' own median deviation."""
     limit = config.price_jump_mad_multiplier * MAD_SCALE * F.col("mad")
+    distance = F.abs(F.col("log_return") - F.col("median"))
     return (
         (F.col("n") >= config.min_outlier_observations)
         & (F.abs("relative_return") > config.price_jump_abs_return_warn)
         & (
-            ((F.col("mad") > 0) & (F.col("abs_deviation") > limit))
-            | ((F.col("mad") == 0) & (F.col("abs_deviation") > 0))
+            ((F.col("mad") > 0) & (distance > limit))
+            | ((F.col("mad") == 0) & (distance > 0))
         )
     )
 
@@ -342,9 +348,8 @@ def robust_jumps(
     config = config or specs.AuditConfig()
     if returns is None:
         returns = materialise(close_returns(df), "close-returns")
-    deviations, mads = return_deviations(returns)
     return (
-        join_group_stats(deviations, mads, REPORT, ["timestamp"])
+        with_robust_stats(returns, returns)
         .where(is_robust_jump(config))
         .groupBy(*REPORT)
         .agg(
@@ -357,30 +362,33 @@ def robust_jumps(
     )
 
 
-def volume_bounds(df: DataFrame, config: specs.AuditConfig) -> DataFrame:
-    """Accepted volume range per series, only where the quartiles carry information."""
-    rows = df.where(positive("volume"))
+def with_volume_bounds(rows: DataFrame, volumes: DataFrame, config: specs.AuditConfig, how: str = "inner") -> DataFrame:
+    """Add the accepted volume range per series, NULL unless the quartiles carry information."""
     iqr = F.col("q3") - F.col("q1")
     margin = config.volume_iqr_multiplier * iqr
+    told = (F.col("n") >= config.min_outlier_observations) & (iqr > 0)
+    quartiles = quantiles(volumes, REPORT, "volume", {"q1": 0.25, "q3": 0.75})
     return (
-        quantiles(rows, REPORT, "volume", {"q1": 0.25, "q3": 0.75})
-        .where((F.col("n") >= config.min_outlier_observations) & (iqr > 0))
-        .select(
-            *REPORT,
-            (F.col("q1") - margin).alias("volume_floor"),
-            (F.col("q3") + margin).alias("volume_ceiling"),
+        join_group_stats(rows, quartiles, REPORT, ["timestamp"], how, size="n")
+        .withColumns(
+            {
+                "volume_floor": F.when(told, F.col("q1") - margin),
+                "volume_ceiling": F.when(told, F.col("q3") + margin),
+            }
         )
+        .drop("n", "q1", "q3")
     )
 
 
 def volume_outliers(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFrame:
     config = config or specs.AuditConfig()
-    rows = df.where(positive("volume")).select(*REPORT, "timestamp", "volume")
+    # Stored once, narrow: the quartiles and the comparison below read them.
+    rows = materialise(df.where(positive("volume")).select(*REPORT, "timestamp", "volume"), "volumes")
     outside = (F.col("volume") < F.col("volume_floor")) | (
         F.col("volume") > F.col("volume_ceiling")
     )
     return (
-        join_group_stats(rows, volume_bounds(df, config), REPORT, ["timestamp"])
+        with_volume_bounds(rows, rows, config)
         .where(outside)
         .groupBy(*REPORT)
         .agg(
@@ -402,10 +410,10 @@ def stale_runs(df: DataFrame, config: specs.AuditConfig | None = None) -> DataFr
     next, copies in between stand alone.
     """
     config = config or specs.AuditConfig()
+    judged = df if "is_stale" in df.columns else df.withColumn("is_stale", is_stale())
     rows = (
-        df.withColumn("expected_seconds", cadence_seconds("interval"))
+        judged.withColumn("expected_seconds", cadence_seconds("interval"))
         .where(F.col("expected_seconds").isNotNull())
-        .withColumn("is_stale", is_stale())
         .groupBy(*REPORT, "expected_seconds", "timestamp", "is_stale")
         .agg(F.count("*").alias("copies"))
     )
@@ -520,10 +528,15 @@ def audit_candles(
     symbols: Sequence[str] | None = None,
     intervals: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Findings of all candle checks for one table."""
+    """Findings of all candle checks for one table.
+
+    The table is read twice: for the single-row checks, which need all of its columns, and for the
+    few columns that the ordered and statistical checks share, which are stored.
+    """
     config = config or specs.AuditConfig()
-    rows = scan(df, symbols, intervals)
-    # Ordered once and stored narrow; the two return checks read it five times.
+    table_rows = scan(df, symbols, intervals)
+    rows = materialise(table_rows.select(*SERIES, "timestamp", "close", "volume", is_stale().alias("is_stale")), "audit-rows")
+    # Ordered once and stored narrow; the two return checks read them.
     returns = materialise(close_returns(rows), "close-returns")
     limits = {
         "absolute_return_threshold": F.lit(config.price_jump_abs_return_warn),
@@ -548,7 +561,7 @@ def audit_candles(
             gap_message(),
             ["max_delta_seconds", "expected_seconds"],
         ),
-        row_level_findings(row_level_totals(rows, config), table),
+        row_level_findings(row_level_totals(table_rows, config), table),
         to_findings(
             return_outliers(rows, config, returns),
             table,

@@ -55,17 +55,11 @@ def open_interest_changes(df: DataFrame, config: specs.AuditConfig | None = None
         changes.select(*REPORT, "timestamp", "relative_change", "weight"), "open-interest-changes"
     )
     iqr = F.col("q3") - F.col("q1")
-    limits = (
-        quantiles(changes, REPORT, "relative_change", {"q1": 0.25, "q3": 0.75}, "weight")
-        .where((F.col("n") >= config.min_outlier_observations) & (iqr > 0))
-        .select(
-            *REPORT,
-            (F.col("q3") + config.open_interest_change_iqr_multiplier * iqr).alias("ceiling"),
-        )
-    )
+    quartiles = quantiles(changes, REPORT, "relative_change", {"q1": 0.25, "q3": 0.75}, "weight")
+    far = F.col("relative_change") > F.col("q3") + config.open_interest_change_iqr_multiplier * iqr
     return (
-        join_group_stats(changes, limits, REPORT, ["timestamp"])
-        .where(F.col("relative_change") > F.col("ceiling"))
+        join_group_stats(changes, quartiles, REPORT, ["timestamp"], size="n")
+        .where((F.col("n") >= config.min_outlier_observations) & (iqr > 0) & far)
         .groupBy(*REPORT)
         .agg(
             F.sum("weight").alias("bad_count"),

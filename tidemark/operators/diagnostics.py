@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.ordered import time_slice, with_trailing
-from tidemark.functions.quantiles import join_group_stats, quantiles
+from tidemark.functions.quantiles import join_group_stats
 from tidemark.functions.scalars import holds, positive, seconds_between
 from tidemark.operators.audit_candles import (
     MAD_SCALE,
@@ -21,8 +21,9 @@ from tidemark.operators.audit_candles import (
     VOLUME_FLAGS,
     candle_flags,
     stale_runs,
-    volume_bounds,
     weighted_moments,
+    with_robust_stats,
+    with_volume_bounds,
 )
 from tidemark.session import materialise
 
@@ -107,17 +108,9 @@ def _with_return_stats(
         *REPORT, "timestamp", "log_return", F.col("copies").alias("weight")
     )
     moments = weighted_moments(returns, REPORT, "log_return").withColumnRenamed("n", "n_returns")
-    medians = quantiles(returns, REPORT, "log_return", {"median": 0.5}, "weight")
-    deviations = join_group_stats(returns, medians.drop("n"), REPORT, ["timestamp"]).withColumn(
-        "abs_deviation", F.abs(F.col("log_return") - F.col("median"))
-    )
-    mads = quantiles(deviations, REPORT, "abs_deviation", {"mad": 0.5}, "weight")
-    stats = (
-        moments.join(medians.drop("n"), list(REPORT), "left")
-        .join(mads.drop("n"), list(REPORT), "left")
-    )
-    volumes = volume_bounds(df, config)
-    stats = stats.join(volumes, list(REPORT), "full")
+    found = join_group_stats(rows, moments, REPORT, ["timestamp"], "left", size="n_returns")
+    found = with_robust_stats(found, returns, "left").drop("n")
+    found = with_volume_bounds(found, df.where(positive("volume")), config, "left")
     far = F.abs(F.col("log_return") - F.col("mean")) > config.price_return_sigma * F.col("std")
     enough = F.col("n_returns") >= config.min_outlier_observations
     distance = F.abs(F.col("log_return") - F.col("median"))
@@ -126,8 +119,7 @@ def _with_return_stats(
         & (distance > config.price_jump_mad_multiplier * MAD_SCALE * F.col("mad"))
     ) | ((F.col("mad") == 0) & (distance > 0))
     return (
-        join_group_stats(rows, stats, REPORT, ["timestamp"], "left")
-        .withColumns(
+        found.withColumns(
             {
                 "price_return_outliers": holds(enough & (F.col("std") > 0) & far),
                 "robust_price_jumps": holds(

@@ -252,7 +252,7 @@ def open_interest_levels(df: DataFrame, threshold: float = 5.0) -> DataFrame:
     )
     z = F.abs(F.col("open_interest") - F.col("mean")) / F.col("std")
     return (
-        join_group_stats(rows, stats, ["symbol"], ["timestamp"])
+        join_group_stats(rows, stats, ["symbol"], ["timestamp"], size="n")
         .where(z > threshold)
         .groupBy("symbol")
         .agg(

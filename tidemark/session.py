@@ -87,6 +87,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
+def stored_bytes(stored: DataFrame) -> int:
+    """Size on disk of a copy made by ``materialise``."""
+    context = stored.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def discard(*stored: DataFrame) -> None:
     """Remove copies made by ``materialise`` that nothing reads any more."""
     for df in stored:
