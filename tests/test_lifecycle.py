@@ -373,6 +373,33 @@ def test_snapshot_build(spark, ranking):
     }
 
 
+def test_digests_leave_only_the_differing_days_to_compare(candles):
+    times = every(4, 60)
+    rows = [candle(t, symbol) for t in times for symbol in ("BTCUSDT", "ETHUSDT")]
+    twice = rows + [rows[3]]
+    changed = [candle(t, "BTCUSDT", close=99.5) if (t, s) == (times[20], "BTCUSDT") else candle(t, s) for t in times for s in ("BTCUSDT", "ETHUSDT")]
+    days = ["symbol", "_day"]
+    fields = ["symbol", "timestamp", *rc.CANDLE_TOLERANCES]
+    stored, source = (candles(x).withColumn("_day", F.to_date("timestamp")) for x in (rows, changed))
+    parts = rc.differing_parts(stored, source, days, fields).collect()
+    assert [tuple(p) for p in parts] == [("BTCUSDT", times[20].date())]
+    keys = ["exchange", "symbol", "interval", "timestamp"]
+    found = rc.reconcile_by_day(candles(rows), candles(changed), keys, rc.CANDLE_TOLERANCES).collect()
+    assert [(r["symbol"], r["timestamp"], r["field"]) for r in found] == [("BTCUSDT", times[20], "close")]
+    assert rc.reconcile_by_day(candles(rows), candles(list(reversed(rows))), keys, rc.CANDLE_TOLERANCES).count() == 0
+    assert rc.differing_parts(candles(twice), candles(rows), ["symbol"], fields).count() == 1
+
+
+def test_reconciling_by_day_finds_what_a_full_comparison_finds(candles):
+    times = every(4, 40)
+    rows = [candle(t, s, close=None if i % 11 == 0 else 100.0 + i) for i, t in enumerate(times) for s in ("BTCUSDT", "ETHUSDT")]
+    other = [candle(t, s, close=100.0 + i + (i % 7 == 0), volume=100.0 + (i % 5 == 0) * 1e-9) for i, t in enumerate(times[3:], 3) for s in ("BTCUSDT", "XRPUSDT")]
+    keys = ["exchange", "symbol", "interval", "timestamp"]
+    full = rc.reconcile(candles(rows), candles(other), keys, rc.CANDLE_TOLERANCES).collect()
+    by_day = rc.reconcile_by_day(candles(rows), candles(other), keys, rc.CANDLE_TOLERANCES).collect()
+    assert sorted(map(str, by_day)) == sorted(map(str, full)) and len(full) > 80
+
+
 def test_reconcile_skips_missing_values(candles):
     stored = candles([candle(START, trades_count=None, volume=100.005), candle(START + timedelta(hours=4))])
     source = candles([candle(START, close=100.6), candle(START + timedelta(hours=8))])

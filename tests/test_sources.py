@@ -98,6 +98,35 @@ def test_archives_without_csv_are_rejected_and_the_others_read(spark, folder):
     assert nz.normalise(archives.read_zipped(spark, str(folder), "spot"), "spot").rows.count() == 1
 
 
+def test_damaged_archives_are_rejected_and_the_others_read(spark, folder):
+    closes = [START + timedelta(minutes=5 * i) for i in range(1, 2_000)]
+    text = "\n".join(line(c) for c in closes)
+    damaged = Path(zipped(folder / "AUSDT-5m-2024-01.zip", text))
+    with zipfile.ZipFile(damaged, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("AUSDT-5m-2024-01.csv", text)
+    content = bytearray(damaged.read_bytes())
+    content[len(content) // 2] ^= 0xFF
+    damaged.write_bytes(content)
+    zipped(folder / "BUSDT-5m-2024-01.zip", (text + "\n").encode() + b"\xff\xfe broken")
+    zipped(folder / "CUSDT-5m-2024-01.zip", "")
+    (folder / "DUSDT-5m-2024-01.zip").write_bytes(Path(zipped(folder / "x" / "D.zip", text)).read_bytes()[:-40])
+    zipped(folder / "EUSDT-5m-2024-01.zip", text)
+    done = nz.normalise(archives.read_zipped(spark, str(folder / "*.zip"), "spot"), "spot")
+    reasons = {r["file"].rsplit("/", 1)[1][0]: r["reason"] for r in done.rejected.collect()}
+    assert reasons == dict.fromkeys("ABCD", "no CSV lines")
+    assert {r["symbol"] for r in done.rows.collect()} == {"EUSDT"} and done.rows.count() == len(closes)
+
+
+def test_a_stream_goes_on_past_damaged_archives(spark, folder):
+    closes = [START + timedelta(minutes=5 * i) for i in range(1, 4)]
+    zipped(folder / "in" / "AUSDT-5m-2024-01.zip", b"1,2,\xff")
+    zipped(folder / "in" / "BUSDT-5m-2024-01.zip", "\n".join(map(line, closes)))
+    query = ingest_new_archives(spark, str(folder / "in"), str(folder / "db"), "spot", str(folder / "state"))
+    query.awaitTermination()
+    assert query.exception() is None
+    assert {r["symbol"] for r in tables.read_table(spark, str(folder / "db"), "spot").collect()} == {"BUSDT"}
+
+
 def test_findings_are_lines_or_one_array_and_nothing_else(spark, folder):
     record = '{"severity": "WARN", "table": "spot", "check_name": "c", "message": "m", "count": 2}'
     for name, text in (("lines", f"{record}\n{record}"), ("array", f"[{record},\n{record}]")):

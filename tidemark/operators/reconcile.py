@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import cadence_seconds, epoch_micros
 from tidemark.operators import upsert
+from tidemark.session import materialise
 
 
 @dataclass(frozen=True)
@@ -115,6 +117,47 @@ def reconcile(
     return joined.select(*keys, F.explode(found).alias("_d")).select(*keys, "_d.*")
 
 
+def differing_parts(stored: DataFrame, source: DataFrame, parts: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """The parts (distinct values of ``parts``) whose rows are not the same on both sides.
+
+    Each side gives one digest a part that does not depend on the order of rows: their number and
+    sums of two hashes of keys and fields, which combine in the tasks before they travel. Rows
+    that repeat count as often as they come; a part that one side lacks differs.
+    """
+
+    def digests(df: DataFrame, name: str) -> DataFrame:
+        hashes = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(f).cast("string"), F.lit("\x00")) for f in fields]) for seed in (1, 2)]
+        sums = [F.sum(h.cast("decimal(20,0)")) for h in hashes]
+        return df.groupBy(*parts).agg(F.struct(F.count("*").alias("n"), *sums).alias(name))
+
+    left = digests(stored, "_left").select(F.struct(*parts).alias("_part"), "_left")
+    right = digests(source, "_right").select(F.struct(*parts).alias("_other"), "_right")
+    both = left.join(right, F.col("_part").eqNullSafe(F.col("_other")), "full_outer")
+    return both.where(~F.col("_left").eqNullSafe(F.col("_right"))).select(F.coalesce("_part", "_other").alias("_part")).select("_part.*")
+
+
+def reconcile_by_day(
+    stored: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    tolerances: Mapping[str, Tolerance],
+    time: str = "timestamp",
+) -> DataFrame:
+    """``reconcile`` of the series and days whose digests differ; all others are the same row by row.
+
+    The differing days are stored, and both sides read again for these alone.
+    """
+    keys = list(keys)
+    series = [k for k in keys if k != time]
+    days = [*series, "_day"]
+    sides = [df.withColumn("_day", F.to_date(time)) for df in (stored, source)]
+    parts = materialise(differing_parts(*sides, days, [*keys, *tolerances]), "differing-days")
+    named = parts.toDF(*[f"_p{i}" for i in range(len(days))])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(days)])
+    left, right = (df.join(named, same, "left_semi").drop("_day") for df in sides)
+    return reconcile(left, right, keys, tolerances)
+
+
 def canonical_listing(listings: DataFrame) -> DataFrame:
     """One listing per ticker and date: best rank, then larger market cap, nulls last."""
     order = [

@@ -773,11 +773,10 @@ UNION ALL SELECT symbol, "timestamp", 'trades_count', 'mismatch' FROM both_sides
 """
 
 
-@add("reconcile_candles", with_views(RECONCILE_SQL, "k1h", "holed", extra=COPY_CTES))
-def reconcile_candles(spark, folder):
-    """Stored candles with holes against a source with changed, missing and NULL fields."""
+def _copied(spark, folder):
+    """A source with changed, missing and NULL fields."""
     hour = _hour()
-    source = (
+    return (
         views.hourly_candles(spark, folder)
         .where(hour % 43 != 7)
         .withColumns(
@@ -792,15 +791,30 @@ def reconcile_candles(spark, folder):
             }
         )
     )
-    found = rc.reconcile(
+
+
+def _reconciled(spark, folder, compare):
+    found = compare(
         views.holed_candles(spark, folder),
-        source,
+        _copied(spark, folder),
         ["exchange", "symbol", "interval", "timestamp"],
         rc.CANDLE_TOLERANCES,
     )
     return found.select("symbol", "timestamp", "field", "kind")
 
 
+@add("reconcile_candles", with_views(RECONCILE_SQL, "k1h", "holed", extra=COPY_CTES))
+def reconcile_candles(spark, folder):
+    """Stored candles with holes against a source with changed, missing and NULL fields."""
+    return _reconciled(spark, folder, rc.reconcile)
+
+
+@add("reconcile_by_day", with_views(RECONCILE_SQL, "k1h", "holed", extra=COPY_CTES))
+def reconcile_by_day(spark, folder):
+    """The same, where only series and days with differing digests meet row by row."""
+    return _reconciled(spark, folder, rc.reconcile_by_day)
+
+
 @add(
     "canonical_listing",
     with_views(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -63,27 +64,38 @@ def with_file_parts(lines: DataFrame, table: str) -> DataFrame:
 def unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Lines of the first CSV member of each archive, in batches of bounded size.
 
-    An archive that is broken or holds no CSV gives one NULL line, by which the file is rejected.
+    An archive that is broken, holds no CSV, or whose CSV is empty, damaged or no UTF-8 text gives
+    one NULL line, by which the file is rejected; the others of the batch go on.
     """
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            if not zipfile.is_zipfile(io.BytesIO(content)):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    member = next(m for m in archive.namelist() if m.endswith(".csv"))
+                    # Read once without keeping anything: a fault may lie behind the last line.
+                    readable = any([bool(text) for text in _blocks(archive, member)])
+                    yield from _member_lines(archive, member, path) if readable else [_lines(path, 0, [None])]
+            except (StopIteration, ValueError, OSError, EOFError, RuntimeError, zlib.error, zipfile.BadZipFile):
                 yield _lines(path, 0, [None])
-                continue
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                members = [m for m in archive.namelist() if m.endswith(".csv")]
-                if not members:
-                    yield _lines(path, 0, [None])
-                    continue
-                with archive.open(members[0]) as raw:
-                    block, start = [], 0
-                    for text in io.TextIOWrapper(raw, encoding="utf-8", newline="\n"):
-                        block.append(text.rstrip("\r\n"))
-                        if len(block) == BATCH_LINES:
-                            yield _lines(path, start, block)
-                            start, block = start + len(block), []
-                    if block:
-                        yield _lines(path, start, block)
+
+
+def _blocks(archive: zipfile.ZipFile, member: str) -> Iterator[str]:
+    with archive.open(member) as raw:
+        text = io.TextIOWrapper(raw, encoding="utf-8", newline="\n")
+        while block := text.read(1 << 20):
+            yield block
+
+
+def _member_lines(archive: zipfile.ZipFile, member: str, path: str) -> Iterator[pd.DataFrame]:
+    with archive.open(member) as raw:
+        block, start = [], 0
+        for text in io.TextIOWrapper(raw, encoding="utf-8", newline="\n"):
+            block.append(text.rstrip("\r\n"))
+            if len(block) == BATCH_LINES:
+                yield _lines(path, start, block)
+                start, block = start + len(block), []
+        if block:
+            yield _lines(path, start, block)
 
 
 def _lines(path: str, start: int, block: list[str | None]) -> pd.DataFrame:

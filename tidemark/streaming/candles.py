@@ -30,14 +30,14 @@ def streaming_candles(
 
 
 def _candles(events: DataFrame, width: str, interval: str) -> DataFrame:
-    """All columns of a candle, over a stream or a table of events."""
+    """All columns of a candle, over a stream or a table of events; ties on ``ts`` go by value."""
     return (
         events.groupBy("symbol", F.window("ts", width).alias("_w"))
         .agg(
-            F.min_by("value", "ts").alias("open"),
+            F.min_by("value", F.struct("ts", "value")).alias("open"),
             F.max("value").alias("high"),
             F.min("value").alias("low"),
-            F.max_by("value", "ts").alias("close"),
+            F.max_by("value", F.struct("ts", "value")).alias("close"),
             F.sum("qty").alias("volume"),
             F.sum(F.col("value") * F.col("qty")).alias("quote_volume"),
             F.count("*").cast("int").alias("trades_count"),
