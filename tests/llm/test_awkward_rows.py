@@ -16,7 +16,7 @@ def thue_morse(length, zero="a", one="b"):
     return "".join(one if i.bit_count() % 2 else zero for i in range(length))
 
 
-@pytest.mark.parametrize("length", [512, 1024, 4096])
+@pytest.mark.parametrize("length", [32, 64, 128, 512, 1024, 4096])
 def test_words_that_collide_under_polynomials_are_told_apart(llm, documents, length):  # noqa: F811
     common = prose(1, 34)
     texts = [f"{common} {thue_morse(length)}", f"{common} {thue_morse(length, 'b', 'a')}"]

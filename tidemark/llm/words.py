@@ -16,10 +16,14 @@ import xxhash
 #: The pattern of a word for Spark's and DuckDB's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
 # Odd 64-bit multipliers; two independent families make a 128-bit hash.
+_BYTE_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-#: Words whose hashes a worker keeps, for each family.
-CACHED_WORDS = 500_000
+#: Words of more bytes are hashed by XXH3.
+SHORT_BYTES = 64
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -56,31 +60,31 @@ def _runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -
     return mixed((sums[ends] - sums[starts]) * _power_table(inverse, len(values) + 1)[starts])
 
 
-class _Hashes(dict):
-    """XXH3 of words under the seed of a family, computed once for each word."""
-
-    def __init__(self, family: int) -> None:
-        super().__init__()
-        self.family = family
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word, self.family)
-        return found
-
-
-_KNOWN = (_Hashes(0), _Hashes(1))
+def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end offsets of the words of one text."""
+    if not text:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    inside = np.empty(len(text) + 2, dtype=bool)
+    inside[0] = inside[-1] = False
+    np.logical_not(_SPACE[np.frombuffer(text, dtype=np.uint8)], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[0::2], edges[1::2]
 
 
 def word_hashes(text: bytes, family: int = 0) -> np.ndarray:
     """A 64-bit hash of each word of one text.
 
-    Words are hashed by XXH3, not by a polynomial: under a polynomial modulo a power of two, certain
-    long words (Thue-Morse ones) are equal in every family.
+    Words are hashed all at once by a polynomial modulo 2 ** 64. Certain long words (Thue-Morse
+    ones) have equal polynomials in every family; the few long words of a text get their XXH3.
     """
-    known, words = _KNOWN[family], text.split()
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    starts, ends = word_bounds(text)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    raw = np.frombuffer(text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    hashes = _runs(raw, starts, ends, _BYTE_BASES[family])
+    for i in np.flatnonzero(ends - starts > SHORT_BYTES):
+        hashes[i] = xxhash.xxh3_64_intdigest(text[starts[i] : ends[i]], family)
+    return hashes
 
 
 def sequence_hashes(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
