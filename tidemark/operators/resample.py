@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import specs
+from tidemark.functions import blocks, ordered
 from tidemark.functions.ordered import time_slice, with_previous, with_trailing
 from tidemark.functions.scalars import (
     as_column,
@@ -16,6 +17,7 @@ from tidemark.functions.scalars import (
     ntz_from_seconds,
     positive,
 )
+from tidemark.session import discard, materialise
 
 # Offset of Monday 1970-01-05 from the epoch, for weekly and three-day buckets alike.
 MONDAY_OFFSET = 4 * specs.DAY_SECONDS
@@ -79,15 +81,23 @@ def daily_vwap(df: DataFrame) -> DataFrame:
 def rolling_volatility(df: DataFrame, candles: int) -> DataFrame:
     """Sample deviation of log returns over the last ``candles`` rows of each series.
 
-    Copies of a time are ordered by their close, in both passes alike.
+    Copies of a time are ordered by their close, in both passes alike. Windows wider than a slice
+    are put together from blocks (``blocks.rolling_deviation``), so no task holds a series.
     """
     order = ["timestamp", "close"]
     keys = ["exchange", "symbol", "interval"]
     rows = df.where(positive("close")).select(*keys, "timestamp", "close")
-    slices = time_slice("timestamp", cadence_seconds("interval"))
-    returns = with_previous(rows, keys, order, ["close"], slices).withColumn(
-        "log_return", F.ln(F.col("close") / F.col("prev_close"))
-    )
+    step = cadence_seconds("interval")
+    change = F.ln(F.col("close") / F.col("prev_close"))
+    if candles > ordered.SLICE_STEPS:
+        stored = materialise(rows, "closes")
+        placed = materialise(blocks.with_positions(stored, keys, order, step), "places")
+        discard(stored)
+        place = blocks.POSITION
+        returns = with_previous(placed, keys, [place], ["close"], blocks.block_of(place)).withColumn("log_return", change)
+        return blocks.rolling_deviation(returns, keys, "log_return", candles, "volatility").drop(place)
+    slices = time_slice("timestamp", step)
+    returns = with_previous(rows, keys, order, ["close"], slices).withColumn("log_return", change)
     return with_trailing(
         returns,
         keys,

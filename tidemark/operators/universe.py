@@ -158,6 +158,66 @@ def renames(universe: DataFrame) -> DataFrame:
     )
 
 
+def ticker_spans(universe: DataFrame, provider: str = specs.PROVIDER) -> DataFrame:
+    """Whom a ticker belonged to and when: (symbol, provider_id, valid_from, valid_to).
+
+    Half open periods in dates, that do not overlap within a ticker; NULL for an open side. A
+    ticker on a date belongs to the asset with the best rank, equal ranks to the smaller id, and
+    stays with it until another asset carries it. Its first owner had it all the time before.
+    Rows without symbol, date or id take no part.
+    """
+    known = universe.where(
+        (F.col("provider") == provider) & F.col("symbol").isNotNull() & F.col("date").isNotNull() & F.col("provider_id").isNotNull()
+    )
+    best = F.struct(F.col("rank").isNull(), "rank", "provider_id")
+    owners = known.groupBy("symbol", "date").agg(F.min_by("provider_id", best).alias("provider_id"))
+    decades = F.floor(F.year("date") / 10).cast("bigint")
+    # One row a change of hands is left, so a window by ticker is small.
+    changes = with_previous(owners, ["symbol"], ["date"], ["provider_id"], decades).where(
+        ~F.col("provider_id").eqNullSafe(F.col("prev_provider_id"))
+    )
+    by_date = Window.partitionBy("symbol").orderBy("date")
+    return changes.select(
+        "symbol",
+        "provider_id",
+        F.when(F.col("prev_provider_id").isNotNull(), F.col("date")).alias("valid_from"),
+        F.lead("date").over(by_date).alias("valid_to"),
+    )
+
+
+def asset_names(universe: DataFrame, provider: str = specs.PROVIDER) -> DataFrame:
+    """One symbol for each asset of the rankings over all its renames: (provider_id, canonical).
+
+    It is the newest ticker, so a chain A-B-C ends in C. Where that ticker has passed to another
+    asset since, or never was this asset's own by ``ticker_spans``, the id is added ("C.17"), so no
+    two assets share a name.
+    """
+    known = universe.where(
+        (F.col("provider") == provider) & F.col("symbol").isNotNull() & F.col("date").isNotNull() & F.col("provider_id").isNotNull()
+    )
+    newest = known.groupBy("provider_id").agg(F.max_by("symbol", F.struct("date", "symbol")).alias("symbol"))
+    holders = ticker_spans(universe, provider).where(F.col("valid_to").isNull()).select("symbol", F.col("provider_id").alias("_holder"))
+    own = F.coalesce(F.col("_holder") == F.col("provider_id"), F.lit(False))
+    return newest.join(holders, "symbol", "left").select(
+        "provider_id",
+        F.when(own, F.col("symbol")).otherwise(F.concat("symbol", F.lit("."), F.col("provider_id").cast("string"))).alias("canonical"),
+    )
+
+
+def names_from_rankings(universe: DataFrame, provider: str = specs.PROVIDER) -> DataFrame:
+    """The mapping that ``stitch_renamed`` takes, for the pairs of all assets, from rankings alone.
+
+    A pair that is called the same all the time needs no row and gets none.
+    """
+    spans = ticker_spans(universe, provider).join(asset_names(universe, provider), "provider_id")
+    return spans.where(F.col("symbol") != F.col("canonical")).select(
+        pair_symbol("symbol").alias("symbol"),
+        pair_symbol("canonical").alias("canonical"),
+        F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),
+        F.col("valid_to").cast("timestamp_ntz").alias("valid_to"),
+    )
+
+
 @dataclass(frozen=True)
 class SnapshotBuild:
     """Result of one build over many dates."""

@@ -173,6 +173,35 @@ def rolling_vol(spark, folder):
     )
 
 
+@add(
+    "rolling_vol_wide",
+    """
+SELECT symbol, "timestamp", round(log_return, 6) AS log_return, round(stddev_samp(log_return) OVER (
+           PARTITION BY symbol ORDER BY "timestamp" ROWS 9999 PRECEDING), 6) AS volatility
+FROM (SELECT *, ln(close / lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp")) AS log_return
+      FROM (SELECT l_returnflag || 'USDT' AS symbol,
+                   CAST(l_shipdate AS TIMESTAMP) + to_seconds((l_orderkey * 8 + l_linenumber) * 7919 % 86400) AS "timestamp",
+                   max(l_extendedprice) AS close FROM lineitem GROUP BY 1, 2))
+""",
+)
+def rolling_vol_wide(spark, folder):
+    """10 000 rows a window over prices at times off any grid, many to a cadence step."""
+    seconds = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 7919 % 86_400
+    prices = (
+        views.read_table(spark, folder, "lineitem")
+        .select(
+            F.concat("l_returnflag", F.lit(specs.QUOTE_ASSET)).alias("symbol"),
+            shift_seconds(F.col("l_shipdate").cast("timestamp_ntz"), seconds).alias("timestamp"),
+            F.col("l_extendedprice").cast("double").alias("close"),
+        )
+        .groupBy("symbol", "timestamp")
+        .agg(F.max("close").alias("close"))
+        .withColumns({"exchange": F.lit(specs.EXCHANGE), "interval": F.lit("1d")})
+    )
+    found = rs.rolling_volatility(prices, 10_000)
+    return rounded(found.select("symbol", "timestamp", "log_return", "volatility"), "log_return", "volatility")
+
+
 @add(
     "interval_summary",
     with_views(
@@ -391,6 +420,78 @@ def renames(spark, folder):
     return un.renames(renamed)
 
 
+# Ticker of an asset on a date: a chain of three names, a ticker given up and later taken by another asset.
+TICKER = """
+CASE WHEN {id} % 4 = 0 AND {day} < DATE '1994-01-01' THEN {symbol} || 'A'
+     WHEN {id} % 4 = 0 AND {day} < DATE '1996-01-01' THEN {symbol} || 'B'
+     WHEN {id} % 4 = 0 THEN {symbol} || 'C'
+     WHEN {id} % 4 = 1 AND {day} < DATE '1995-01-01' THEN 'TICK' || CAST(({id} - {id} % 4) AS VARCHAR(9))
+     WHEN {id} % 4 = 2 AND {day} >= DATE '1997-01-01' THEN 'TICK' || CAST(({id} - {id} % 4) AS VARCHAR(9))
+     ELSE {symbol} END
+"""
+RANKED_NAMES = f"""SELECT provider_id, "date", rank, {TICKER.format(id="provider_id", day='"date"', symbol="symbol")} AS symbol FROM uni"""
+TRADED_NAMES = f"""
+SELECT {TICKER.format(id="(n_nationkey + 1)", day='CAST("timestamp" - INTERVAL 1 SECOND AS DATE)', symbol="replace(symbol, 'USDT', '')")}
+       || 'USDT' AS symbol, "timestamp", quote_volume
+FROM k1d JOIN nation ON symbol = replace(upper(n_name), '_', '') || 'USDT'
+"""
+OWNERS = """
+SELECT symbol, provider_id, CASE WHEN nth > 1 THEN "date" END AS valid_from,
+       lead("date") OVER (PARTITION BY symbol ORDER BY "date") AS valid_to
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "date") AS nth,
+             lag(provider_id) OVER (PARTITION BY symbol ORDER BY "date") AS before
+      FROM (SELECT symbol, "date", provider_id FROM ranked
+            QUALIFY row_number() OVER (PARTITION BY symbol, "date" ORDER BY rank, provider_id) = 1))
+WHERE before IS NULL OR before <> provider_id
+"""
+NEWEST = """
+SELECT n.provider_id, CASE WHEN o.provider_id = n.provider_id THEN n.symbol
+                           ELSE n.symbol || '.' || CAST(n.provider_id AS VARCHAR) END AS canonical
+FROM (SELECT provider_id, symbol FROM ranked
+      QUALIFY row_number() OVER (PARTITION BY provider_id ORDER BY "date" DESC, symbol DESC) = 1) AS n
+LEFT JOIN owners AS o ON o.symbol = n.symbol AND o.valid_to IS NULL
+"""
+
+
+@add(
+    "stitch_from_rankings",
+    with_views(
+        """
+SELECT coalesce(w.canonical || 'USDT', t.symbol) AS symbol, count(*) AS n, min(t."timestamp") AS first_close,
+       max(t."timestamp") AS last_close, round(sum(t.quote_volume), 2) AS quote_volume
+FROM traded AS t
+LEFT JOIN owners AS o ON t.symbol = o.symbol || 'USDT' AND (o.valid_from IS NULL OR t."timestamp" > o.valid_from)
+                     AND (o.valid_to IS NULL OR t."timestamp" <= o.valid_to)
+LEFT JOIN newest AS w ON w.provider_id = o.provider_id
+GROUP BY 1
+""",
+        "uni",
+        "k1d",
+        extra={"ranked": RANKED_NAMES, "traded": TRADED_NAMES, "owners": OWNERS, "newest": NEWEST},
+    ),
+)
+def stitch_from_rankings(spark, folder):
+    """Candles traded under the ticker of their day, put under one symbol an asset by the rankings."""
+    ranked = views.rankings(spark, folder).withColumn("symbol", F.expr(TICKER.format(id="provider_id", day='date', symbol="symbol")))
+    nations = views.read_table(spark, folder, "nation").select(
+        (F.col("n_nationkey") + 1).cast("bigint").alias("_id"),
+        F.concat(F.regexp_replace(F.upper("n_name"), "_", ""), F.lit(specs.QUOTE_ASSET)).alias("symbol"),
+    )
+    ticker = TICKER.format(id="_id", day="to_date(timestamp - interval 1 second)", symbol="replace(symbol, 'USDT', '')")
+    traded = (
+        views.daily_candles(spark, folder)
+        .join(nations, "symbol")
+        .withColumn("symbol", F.concat(F.expr(ticker), F.lit(specs.QUOTE_ASSET)))
+        .drop("_id")
+    )
+    return un.stitch_renamed(traded, un.names_from_rankings(ranked)).groupBy("symbol").agg(
+        F.count("*").alias("n"),
+        F.min("timestamp").alias("first_close"),
+        F.max("timestamp").alias("last_close"),
+        F.round(F.sum("quote_volume"), 2).alias("quote_volume"),
+    )
+
+
 SNAPSHOT_SQL = f"""
 SELECT provider_id, "date", symbol, rank, market_cap FROM (
     SELECT *, row_number() OVER (PARTITION BY provider, provider_id, "date" ORDER BY rank NULLS LAST,
