@@ -20,7 +20,7 @@ from tidemark.plans.view_sql import with_views
 from tidemark.session import materialise, scratch_path
 from tidemark.sources import archives, reports, tables
 from tidemark.streaming import ingest as stream
-from tidemark.streaming.candles import open_candles, run_to_table, streaming_candles
+from tidemark.streaming.candles import open_candles, run_to_table, store_updates, streaming_candles
 
 REGISTRY = Registry()
 add = REGISTRY.add
@@ -1057,38 +1057,55 @@ def report_with_anomalies(spark, folder):
 # ---------------------------------------------------------------------------
 # Streams
 # ---------------------------------------------------------------------------
-@add(
-    "stream_candles",
-    with_views(
-        """
+STREAMED_SQL = with_views(
+    """
 SELECT exchange, symbol, "interval", "timestamp", open, high, low, close, round(volume, 4) AS volume,
        round(quote_volume, 4) AS quote_volume, trades_count, round(taker_buy_base_volume, 4) AS taker_buy_base_volume,
        round(taker_buy_quote_volume, 4) AS taker_buy_quote_volume
 FROM k1h
 """,
-        "k1h",
-    ),
+    "k1h",
 )
+STREAMED_SUMS = ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")
+
+
+def _trades(events):
+    """Events as trades, in the columns that ``streaming_candles`` takes."""
+    return events.where(F.col("value") > 0).select(
+        "event_id",
+        "ts",
+        F.concat(F.upper("event_type"), F.lit(specs.QUOTE_ASSET)).alias("symbol"),
+        "value",
+        (1 + F.col("event_id") % 7).cast("double").alias("qty"),
+        (F.col("event_id") % 2 == 0).alias("taker"),
+    )
+
+
+@add("stream_candles", STREAMED_SQL)
 def stream_candles(spark, folder):
     """Events read as a stream give the candles that the three-day watermark has closed; the open
     ones are added from the table."""
-
-    def prepared(events):
-        return events.where(F.col("value") > 0).select(
-            "event_id",
-            "ts",
-            F.concat(F.upper("event_type"), F.lit(specs.QUOTE_ASSET)).alias("symbol"),
-            "value",
-            (1 + F.col("event_id") % 7).cast("double").alias("qty"),
-            (F.col("event_id") % 2 == 0).alias("taker"),
-        )
-
     stored = spark.read.parquet(f"{folder}/events.parquet")
     # A pattern, since the table may be one file or a folder of files.
     arriving = spark.readStream.schema(stored.schema).parquet(f"{folder}/events.parquet*")
-    closed = run_to_table(spark, streaming_candles(prepared(arriving)), "candles")
-    sums = ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")
-    return rounded(closed.unionByName(open_candles(prepared(stored))), *sums, digits=4)
+    closed = run_to_table(spark, streaming_candles(_trades(arriving)), "candles")
+    return rounded(closed.unionByName(open_candles(_trades(stored))), *STREAMED_SUMS, digits=4)
+
+
+@add("stream_candle_updates", STREAMED_SQL)
+def stream_candle_updates(spark, folder):
+    """Events arrive in two turns. The first leaves out every third event, so most candles in the
+    table are open and wrong; the second brings these, and some events again, and corrects them."""
+    inbox, root, state = (scratch_path(spark, x) for x in ("events", "updated", "update-state"))
+    events = views.read_table(spark, folder, "events")
+    late = F.col("event_id") % 3 == 0
+    for turn in (events.where(~late), events.where(late | (F.col("event_id") % 11 == 0))):
+        turn.write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema(events.schema).parquet(inbox)
+        candles = streaming_candles(_trades(arriving), lateness="60 days")
+        store_updates(candles, root, "spot", state).awaitTermination()
+    found = tables.read_table(spark, root, "spot").select(*specs.CANDLE_SCHEMA.fieldNames())
+    return rounded(found, *STREAMED_SUMS, digits=4)
 
 
 @add(

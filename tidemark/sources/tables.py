@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import specs
 from tidemark.operators import upsert, validate
 from tidemark.operators.gaps import scan
-from tidemark.session import materialise
+from tidemark.session import discard, materialise
 
 
 def table_exists(spark: SparkSession, root: str, table: str) -> bool:
@@ -191,6 +191,25 @@ def replace_days(
     _overwrite_partitions(spark, root, table, content, touched)
 
 
+def merge_rows(spark: SparkSession, root: str, table: str, incoming: DataFrame) -> None:
+    """Let rows take the place of stored ones with their key; the other rows stay, new keys are added.
+
+    Doing it again changes nothing. Only partitions that hold incoming rows are rewritten. A key that
+    comes twice, or a row that breaks the table's rules, is refused before anything is written.
+    """
+    fresh = materialise(_typed(incoming, table), f"incoming-{table}")
+    if not fresh.isEmpty():
+        if table_exists(spark, root, table):
+            columns = specs.table_spec(table).columns
+            touched = _touched(read_table(spark, root, table), fresh, table)
+            kept = upsert.absent_rows(touched.select(*columns), fresh, table)
+            _overwrite_partitions(spark, root, table, kept.unionByName(fresh.select(*columns)), touched)
+        else:
+            _require_contract(validate.violations(fresh, table), table)
+            _write(fresh, root, table, "append")
+    discard(fresh)
+
+
 def replace_dates(
     spark: SparkSession, root: str, incoming: DataFrame, dates: DataFrame
 ) -> None:

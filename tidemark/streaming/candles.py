@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import specs
 from tidemark.session import scratch_path
+from tidemark.sources import tables
 
 LATENESS = "3 days"
 # What takers bought, as SQL over the events.
@@ -80,6 +82,28 @@ def open_candles(
     return candles.where(F.col("timestamp") > F.col("_watermark")).drop("_watermark")
 
 
+def store_updates(candles: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Keep a stored table up to date with a stream of candles, the open ones included.
+
+    In update mode each turn hands on every candle that its events have touched, as a whole and not
+    as a difference, and the candle takes the place of the stored one. So open windows are in the
+    table at once, late events correct them as long as the watermark allows, events delivered again
+    change nothing, and a turn repeated after a failure writes the same rows. The run ends when
+    all that has arrived is done; the next one with this ``checkpoint`` goes on from there.
+    """
+
+    def merge(batch: DataFrame, _: int) -> None:
+        tables.merge_rows(batch.sparkSession, root, table, batch)
+
+    return (
+        candles.writeStream.outputMode("update")
+        .foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     """Process everything available into a parquet folder and return it as a table."""
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
