@@ -9,16 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import specs
-from tidemark.functions.ordered import time_slice, with_previous
-from tidemark.functions.scalars import (
-    cadence_seconds,
-    date_literal,
-    epoch_micros,
-    prefixed_symbol,
-    accepts_prefix,
-    shift_seconds,
-)
+from tidemark.functions.scalars import accepts_prefix, date_literal, prefixed_symbol
+from tidemark.operators import coverage as coverage_of
 from tidemark.operators.gaps import scan
+from tidemark.operators.upsert import close_day
 
 FREQUENCIES = ("daily", "weekly", "monthly")
 PERIOD_KEYS = ("table", "symbol", "interval", "period")
@@ -125,90 +119,41 @@ def with_period_bounds(periods: DataFrame) -> DataFrame:
     )
 
 
-def _period_labels(ts: Column, lengths: Sequence[int]) -> Column:
-    formats = {7: "yyyy-MM", 10: "yyyy-MM-dd"}
-    return F.array(*[F.date_format(ts, formats[n]) for n in lengths])
-
-
 def candle_period_status(periods: DataFrame, candles: DataFrame) -> DataFrame:
     """Every candle period with ``complete``: all of them in one grouped join.
 
-    A row belongs to the period that holds the instant before its close. A period is complete
-    when its rows span it without holes in number; with a variable interval any row will do.
+    A row belongs to the period that holds the instant before its close. Rows are put together by
+    day first, and only days are labelled with months.
     """
-    labelled = with_period_bounds(periods)
-    instant = F.col("timestamp") - F.expr("interval 1 microsecond")
-    stored = (
-        scan(candles, exchange=specs.EXCHANGE)
-        .select("symbol", "interval", "timestamp", F.explode(_period_labels(instant, (7, 10))).alias("period"))
-        .groupBy("symbol", "interval", "period")
+    rows = scan(candles, exchange=specs.EXCHANGE)
+    days = (
+        rows.groupBy("exchange", "symbol", "interval", close_day("timestamp").alias("day"))
         .agg(
-            F.min("timestamp").alias("min_ts"),
-            F.max("timestamp").alias("max_ts"),
             F.count("*").alias("row_count"),
+            F.min("timestamp").alias("first_timestamp"),
+            F.max("timestamp").alias("last_timestamp"),
         )
+        .withColumn("widest_gap", F.lit(None).cast("bigint"))
     )
-    step = cadence_seconds("interval")
-    spanned = epoch_micros("max_ts") - epoch_micros("min_ts")
-    needed = F.floor(spanned / (step * 1_000_000)).cast("bigint") + 1
-    covered = (
-        (F.col("row_count") >= needed)
-        & (F.col("min_ts") <= shift_seconds("period_start", step))
-        & (F.col("max_ts") >= F.col("period_end"))
-    )
-    joined = labelled.join(stored, ["symbol", "interval", "period"], "left")
-    return joined.withColumns(
-        {
-            "row_count": F.coalesce("row_count", F.lit(0).cast("bigint")),
-            "complete": F.when(F.col("row_count").isNull(), False)
-            .when(step.isNull(), True)
-            .otherwise(covered),
-        }
-    )
+    return _status(coverage_of.candle_completeness(with_period_bounds(periods), days))
 
 
 def metric_period_status(periods: DataFrame, metrics: DataFrame, table: str) -> DataFrame:
     """Every metric period with ``complete``: at least two rows, edges and no wide gap."""
-    cadence = specs.table_spec(table).cadence_seconds
+    days = coverage_of.day_summaries(scan(metrics, exchange=specs.EXCHANGE), table)
+    return _status(coverage_of.metric_completeness(with_period_bounds(periods), days, table))
+
+
+def stored_period_status(periods: DataFrame, days: DataFrame, table: str) -> DataFrame:
+    """Every period with ``complete``, from kept summaries of days; no stored row is read."""
     labelled = with_period_bounds(periods)
-    labels = _period_labels(F.col("timestamp"), (7, 10))
-    times = (
-        scan(metrics, exchange=specs.EXCHANGE)
-        .groupBy("symbol", "timestamp")
-        .agg(F.count("*").alias("copies"))
-    )
-    stored = (
-        with_previous(times, ["symbol"], ["timestamp"], ["timestamp"], time_slice("timestamp", cadence))
-        .withColumn("period", F.explode(labels))
-        .withColumn(
-            "_same",
-            F.date_format("prev_timestamp", "yyyy-MM-dd").startswith(F.col("period")),
-        )
-        .groupBy("symbol", "period")
-        .agg(
-            F.min("timestamp").alias("min_ts"),
-            F.max("timestamp").alias("max_ts"),
-            F.sum("copies").alias("row_count"),
-            F.max(
-                F.when(F.col("_same"), epoch_micros("timestamp") - epoch_micros("prev_timestamp"))
-            ).alias("max_gap"),
-        )
-    )
-    # Copies of one timestamp are zero apart, which makes a gap of zero known.
-    widest = F.coalesce("max_gap", F.when(F.col("row_count") > 1, F.lit(0)))
-    covered = (
-        (F.col("row_count") >= 2)
-        & (F.col("min_ts") <= shift_seconds("period_start", cadence))
-        & (F.col("max_ts") >= shift_seconds("period_end", -cadence))
-        & (widest <= cadence * 1_000_000)
-    )
-    joined = labelled.join(stored, ["symbol", "period"], "left")
-    return joined.withColumns(
-        {
-            "row_count": F.coalesce("row_count", F.lit(0).cast("bigint")),
-            "complete": F.coalesce(covered, F.lit(False)),
-        }
-    ).drop("max_gap")
+    if specs.table_spec(table).kind == "kline":
+        return _status(coverage_of.candle_completeness(labelled, days, table))
+    return _status(coverage_of.metric_completeness(labelled, days, table))
+
+
+def _status(found: DataFrame) -> DataFrame:
+    return found.withColumnsRenamed({"first_timestamp": "min_ts", "last_timestamp": "max_ts"})
 
 
 def missing_periods(status: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import specs
 from tidemark.functions.scalars import epoch_micros, epoch_seconds, interval_label
+from tidemark.operators import coverage
 from tidemark.operators import findings as fd
 from tidemark.operators import normalize as nz
 from tidemark.operators import planning as pl
@@ -993,6 +994,144 @@ def store_round_trip(spark, folder):
     )
 
 
+REPLACED_DAY = """"timestamp" > TIMESTAMP '2024-01-10 00:00:00' AND "timestamp" <= TIMESTAMP '2024-01-11 00:00:00'"""
+#: Rows after an insert with holes, one that fills a symbol's, a thinner day in place of a stored one, and a prune.
+CHANGED = f"""
+SELECT symbol, "interval", "timestamp" FROM holed WHERE symbol <> 'CLICKUSDT' AND NOT (symbol = 'VIEWUSDT' AND {REPLACED_DAY})
+   AND (symbol <> 'PURCHASEUSDT' OR ("timestamp" > TIMESTAMP '2024-01-05 00:00:00' AND "timestamp" <= TIMESTAMP '2024-01-21 00:00:00'))
+UNION ALL SELECT symbol, "interval", "timestamp" FROM k1h WHERE symbol = 'CLICKUSDT'
+UNION ALL SELECT symbol, "interval", "timestamp" FROM k1h WHERE symbol = 'VIEWUSDT' AND {REPLACED_DAY} AND hour("timestamp") % 2 = 0
+"""
+
+
+def _changed_store(spark, folder):
+    """A stored table after inserts, a replacement and a prune."""
+    root = scratch_path(spark, "changed")
+    full = materialise(views.hourly_candles(spark, folder), "full")
+    tables.insert_new(spark, root, "spot", views.holed_candles(spark, folder))
+    tables.insert_new(spark, root, "spot", full.where(F.col("symbol") == "CLICKUSDT"))
+    day = full.where(
+        (F.col("symbol") == "VIEWUSDT") & (up.close_day("timestamp") == F.lit("2024-01-10").cast("date"))
+    )
+    days = day.select("symbol", "interval", up.close_day("timestamp").alias("day"))
+    tables.replace_days(spark, root, "spot", day.where(F.hour("timestamp") % 2 == 0), days)
+    low, high = up.close_window(F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date"))
+    tables.prune(spark, root, "spot", spark.range(1).select(F.lit("PURCHASEUSDT").alias("symbol")), ["1h"], low, high)
+    return root
+
+
+@add(
+    "coverage_days",
+    with_views(
+        """
+SELECT symbol, "interval", "day", count(*) AS row_count, min("timestamp") AS first_timestamp,
+       max("timestamp") AS last_timestamp, max(gap) AS widest_gap
+FROM (SELECT *, date_diff('microsecond', lag("timestamp") OVER (PARTITION BY symbol, "interval", "day"
+                                                                 ORDER BY "timestamp"), "timestamp") AS gap
+      FROM (SELECT *, CAST("timestamp" - INTERVAL 1 MICROSECOND AS DATE) AS "day" FROM changed))
+GROUP BY 1, 2, 3
+""",
+        "holed",
+        "k1h",
+        extra={"changed": CHANGED},
+    ),
+)
+def coverage_days(spark, folder):
+    """Kept summaries after inserts, a replacement and a prune."""
+    found = tables.read_coverage(spark, _changed_store(spark, folder), "spot")
+    return found.select("symbol", "interval", "day", *coverage.MEASURES)
+
+
+@add(
+    "coverage_periods_kline",
+    with_views(
+        """
+SELECT r.symbol, r."interval", r.period, count(k."timestamp") AS row_count,
+       coalesce(count(k."timestamp") >= floor(date_diff('second', min(k."timestamp"), max(k."timestamp")) / 3600) + 1
+           AND min(k."timestamp") <= r.d + INTERVAL 1 HOUR AND max(k."timestamp") >= r.e, FALSE) AS complete
+FROM (SELECT symbol, "interval", d, d + INTERVAL 1 DAY AS e, strftime(d, '%Y-%m-%d') AS period FROM (
+          SELECT symbol, "interval", unnest(generate_series(date_trunc('day', min("timestamp")),
+                 date_trunc('day', max("timestamp")), INTERVAL 1 DAY)) AS d FROM k1h GROUP BY 1, 2)
+      UNION ALL SELECT symbol, "interval", d, d + INTERVAL 1 MONTH, strftime(d, '%Y-%m') FROM (
+          SELECT symbol, "interval", unnest(generate_series(date_trunc('month', min("timestamp")),
+                 date_trunc('month', max("timestamp")), INTERVAL 1 MONTH)) AS d FROM k1h GROUP BY 1, 2)) AS r
+LEFT JOIN changed AS k ON k.symbol = r.symbol AND k."interval" = r."interval" AND k."timestamp" > r.d
+ AND k."timestamp" <= r.e GROUP BY 1, 2, 3, r.d, r.e
+""",
+        "holed",
+        "k1h",
+        extra={"changed": CHANGED},
+    ),
+)
+def coverage_periods_kline(spark, folder):
+    """Days and months of a changed table that are complete, from its kept summaries alone."""
+    days = tables.read_coverage(spark, _changed_store(spark, folder), "spot", intervals=["1h"])
+    asked = _all_periods(views.hourly_candles(spark, folder), "interval")
+    found = pl.stored_period_status(asked, days, "spot")
+    return found.select("symbol", "interval", "period", "row_count", "complete")
+
+
+def _all_periods(rows, *keys):
+    """Every day and every month between the first and the last row of a symbol."""
+    spans = rows.groupBy("symbol", *keys).agg(
+        F.to_date(F.min("timestamp")).alias("start"), F.to_date(F.max("timestamp")).alias("end")
+    )
+    days = pl.calendar(spans, "daily").select("symbol", *keys, F.date_format("date", "yyyy-MM-dd").alias("period"))
+    months = days.withColumn("period", F.substring("period", 1, 7)).distinct()
+    return days.unionByName(months)
+
+
+@add(
+    "coverage_periods_metric",
+    with_views(
+        """
+SELECT r.symbol, r.period, count(f."timestamp") AS row_count,
+       coalesce(count(f."timestamp") >= 2 AND min(f."timestamp") <= r.d + INTERVAL 8 HOUR
+           AND max(f."timestamp") >= r.e - INTERVAL 8 HOUR
+           AND max(CASE WHEN prev >= r.d THEN date_diff('second', prev, f."timestamp") END) <= 28800, FALSE) AS complete
+FROM (SELECT symbol, d, d + INTERVAL 1 DAY AS e, strftime(d, '%Y-%m-%d') AS period FROM (
+          SELECT symbol, unnest(generate_series(date_trunc('day', min("timestamp")),
+                 date_trunc('day', max("timestamp")), INTERVAL 1 DAY)) AS d FROM fr GROUP BY 1)
+      UNION ALL SELECT symbol, d, d + INTERVAL 1 MONTH, strftime(d, '%Y-%m') FROM (
+          SELECT symbol, unnest(generate_series(date_trunc('month', min("timestamp")),
+                 date_trunc('month', max("timestamp")), INTERVAL 1 MONTH)) AS d FROM fr GROUP BY 1)) AS r
+LEFT JOIN (SELECT *, lag("timestamp") OVER (PARTITION BY symbol ORDER BY "timestamp") AS prev FROM kept) AS f
+  ON f.symbol = r.symbol AND f."timestamp" >= r.d AND f."timestamp" < r.e GROUP BY 1, 2, r.d, r.e
+""",
+        "fr",
+        extra={"kept": "SELECT symbol, \"timestamp\" FROM fr WHERE dayofyear(\"timestamp\") % 9 <> 0 OR hour(\"timestamp\") <> 8"},
+    ),
+)
+def coverage_periods_metric(spark, folder):
+    """Days and months of stored funding rates with holes, inserted in two turns, from kept summaries alone."""
+    root = scratch_path(spark, "rates")
+    rates = materialise(views.funding_rates(spark, folder), "rates")
+    holed = rates.where((F.dayofyear("timestamp") % 9 != 0) | (F.hour("timestamp") != 8))
+    late = F.hour("timestamp") == 16
+    tables.insert_new(spark, root, "funding_rates", holed.where(~late))
+    tables.insert_new(spark, root, "funding_rates", holed.where(late))
+    days = tables.read_coverage(spark, root, "funding_rates")
+    found = pl.stored_period_status(_all_periods(rates), days, "funding_rates")
+    return found.select("symbol", "period", "row_count", "complete")
+
+
+@add("coverage_availability", with_views(AVAILABLE, "k1h", "holed", "oi", "fr"))
+def coverage_availability(spark, folder):
+    """First and last day of four stored tables, from kept summaries alone."""
+    root = scratch_path(spark, "available")
+    stored = {
+        "spot": views.hourly_candles(spark, folder),
+        "futures": views.holed_candles(spark, folder).where(F.col("symbol") != "VIEWUSDT"),
+        "open_interest": views.open_interest(spark, folder),
+        "funding_rates": views.funding_rates(spark, folder).where(F.col("symbol") != "ERRORUSDT"),
+    }
+    for name, rows in stored.items():
+        tables.insert_new(spark, root, name, rows)
+    return coverage.availability_of_days(
+        {name: tables.read_coverage(spark, root, name) for name in stored}, "1h"
+    )
+
+
 @add(
     "export_csv",
     with_views(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,6 +135,11 @@ def repair_tables(
 END_OF_LIFE_FILES = 3
 
 
+def _month_before(start: date | str) -> str:
+    first = date.fromisoformat(str(start)[:10]).replace(day=1)
+    return f"{first - timedelta(days=1):%Y-%m}"
+
+
 def wanted_files(
     spark: SparkSession,
     root: str,
@@ -177,18 +182,12 @@ def wanted_files(
         "replace_existing",
     )
     if tables.table_exists(spark, root, table):
-        stored = tables.read_table(spark, root, table, intervals=intervals if kline else None)
         # Partitions by month: those of the range, and the one before it for rows at midnight.
-        first = F.date_format(F.add_months(date_literal(start), -1), "yyyy-MM")
-        last = F.date_format(date_literal(end), "yyyy-MM")
-        stored = stored.where(F.col("month").between(first, last)).join(
+        months = _month_before(start), str(end)[:7]
+        days = tables.read_coverage(spark, root, table, intervals if kline else None, months).join(
             named.select("symbol").distinct(), "symbol", "left_semi"
         )
-        status = (
-            planning.candle_period_status(named, stored)
-            if kline
-            else planning.metric_period_status(named, stored, table)
-        )
+        status = planning.stored_period_status(named, days, table)
         named = planning.missing_periods(status).select(*named.columns)
     files = available.select(
         "file", *[F.col(c).alias(f"_{c}") for c in ("symbol", "interval", "period")]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import specs
-from tidemark.operators import upsert, validate
+from tidemark.operators import coverage, upsert, validate
 from tidemark.operators.gaps import scan
 from tidemark.session import discard, materialise
 
@@ -31,14 +31,28 @@ def _partitions(table: str) -> list[str]:
     return ["interval", spec.partition_by] if spec.kind == "kline" else [spec.partition_by]
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _write(df: DataFrame, root: str, table: str, mode: str) -> None:
     """Write with files clustered and sorted, so that min/max statistics can skip row groups.
 
-    Hot symbols are spread over days: the exchange is on partition, symbol and day.
+    Hot symbols are spread over days: the exchange is on partition, symbol and day. Summaries of
+    the partitions that are written are withdrawn before and made anew after, so a write that is
+    broken off leaves partitions without a summary, never with a wrong one.
     """
     spec = specs.table_spec(table)
     when = "date" if spec.kind == "universe" else "timestamp"
     parts = _partitions(table)
+    reached = None
+    if keeps_coverage(table):
+        spark = df.sparkSession
+        if table_exists(spark, root, table):
+            reached = _partitions_of(with_partition(df, table), table)
+        _withdraw_coverage(spark, root, table, reached)
     (
         with_partition(df.select(*spec.columns), table)
         .repartition(*parts, "symbol", F.to_date(when))
@@ -49,6 +63,114 @@ def _write(df: DataFrame, root: str, table: str, mode: str) -> None:
         .partitionBy(*parts)
         .parquet(f"{root}/{table}")
     )
+    if keeps_coverage(table):
+        renew_coverage(df.sparkSession, root, table, reached)
+
+
+# ---------------------------------------------------------------------------
+# Kept summaries of days, in a table beside the table and under its partitions
+# ---------------------------------------------------------------------------
+def keeps_coverage(table: str) -> bool:
+    """Candles and metrics have summaries; rankings are small enough to be read."""
+    return specs.table_spec(table).kind != "universe"
+
+
+def _coverage_path(root: str, table: str) -> str:
+    return f"{root}/_coverage/{table}"
+
+
+def _partitions_of(rows: DataFrame, table: str) -> list[tuple]:
+    """Partitions that rows fall into, a few bytes each, on the driver."""
+    return [tuple(row) for row in rows.select(*_partitions(table)).distinct().collect()]
+
+
+def _folders(spark: SparkSession, path: str, levels: int) -> set[tuple]:
+    """Values of the partition folders below a path, by listing folders; none without the path."""
+    place, files = _hadoop_path(spark, path)
+    if not files.exists(place):
+        return set()
+    if not levels:
+        return {()}
+    below = [entry.getPath() for entry in files.listStatus(place) if entry.isDirectory()]
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return {
+        (unescape(entry.getName().split("=", 1)[1]), *rest)
+        for entry in below
+        if "=" in entry.getName()
+        for rest in _folders(spark, entry.toString(), levels - 1)
+    }
+
+
+def _withdraw_coverage(spark: SparkSession, root: str, table: str, partitions: Sequence[tuple] | None) -> None:
+    """Remove the summaries of partitions (None: all) that are about to change."""
+    base = _coverage_path(root, table)
+    names = _partitions(table)
+    folders = [""] if partitions is None else [
+        "/" + "/".join(f"{name}={value}" for name, value in zip(names, values, strict=True)) for values in partitions
+    ]
+    for folder in folders:
+        place, files = _hadoop_path(spark, base + folder)
+        files.delete(place, True)
+
+
+def renew_coverage(
+    spark: SparkSession, root: str, table: str, partitions: Sequence[tuple] | None = None
+) -> None:
+    """Summarise partitions of a stored table anew (None: all), as every write does by itself."""
+    stored = read_table(spark, root, table)
+    if partitions is not None:
+        stored = stored.where(_in_partitions(partitions, table))
+    parts = _partitions(table)
+    (
+        _summaries(stored, table)
+        .repartition(*parts)
+        .sortWithinPartitions(*parts, "symbol", "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts)
+        .parquet(_coverage_path(root, table))
+    )
+
+
+def _summaries(stored: DataFrame, table: str) -> DataFrame:
+    """Summaries of days under the table's partitions; a day on the edge of two is in two pieces."""
+    return coverage.day_summaries(stored, table, ["month"])
+
+
+def read_coverage(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    intervals: Sequence[str] | None = None,
+    months: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Summaries of the days stored in a table; ``months`` are the first and last partition wanted.
+
+    Kept summaries are read; partitions that have none (written by other means, or by a write that
+    was broken off) are summarised from their rows.
+    """
+    parts = _partitions(table)
+
+    def wanted(values: tuple) -> bool:
+        named = dict(zip(parts, values, strict=True))
+        return (not intervals or named.get("interval") in (None, *intervals)) and (
+            months is None or months[0] <= named["month"] <= months[1]
+        )
+
+    present = {p for p in _folders(spark, f"{root}/{table}", len(parts)) if wanted(p)}
+    kept = present & _folders(spark, _coverage_path(root, table), len(parts))
+    stored = read_table(spark, root, table)
+    fresh = _summaries(stored.where(_in_partitions(sorted(present - kept), table)), table)
+    columns = [*specs.table_spec(table).series_keys, "day", *coverage.MEASURES]
+    if not kept:
+        return fresh.select(*columns)
+    summed = (
+        spark.read.schema(fresh.schema)
+        .parquet(_coverage_path(root, table))
+        .where(_in_partitions(sorted(kept), table))
+        .select(*columns)
+    )
+    return summed if present == kept else summed.unionByName(fresh.select(*columns))
 
 
 def create_table(df: DataFrame, root: str, table: str) -> None:
@@ -110,18 +232,22 @@ def _touched(stored: DataFrame, incoming: DataFrame, table: str) -> DataFrame:
 
     The list of these partitions, a few bytes each, is read on the driver and prunes the scan.
     """
+    return stored.where(_in_partitions(_partitions_of(with_partition(incoming, table), table), table))
+
+
+def _in_partitions(partitions: Sequence[tuple], table: str) -> Column:
+    """Whether a row lies in one of these partitions; prunes the scan."""
     parts = _partitions(table)
-    reached = with_partition(incoming, table).select(*parts).distinct().collect()
     groups: dict[tuple, list] = {}
-    for row in reached:
-        groups.setdefault(tuple(row[:-1]), []).append(row[-1])
+    for values in partitions:
+        groups.setdefault(tuple(values[:-1]), []).append(values[-1])
     wanted = F.lit(False)
     for outer, inner in groups.items():
         here = F.col(parts[-1]).isin(*inner)
         for name, value in zip(parts[:-1], outer, strict=True):
             here = here & (F.col(name) == value)
         wanted = wanted | here
-    return stored.where(wanted)
+    return wanted
 
 
 def insert_new(spark: SparkSession, root: str, table: str, incoming: DataFrame) -> int:
@@ -163,9 +289,11 @@ def _overwrite_partitions(
     )
     # Partitions left without rows cannot be expressed by an overwrite of rows.
     for row in emptied.collect():
+        if keeps_coverage(table):
+            _withdraw_coverage(spark, root, table, [tuple(row[name] for name in _partitions(table))])
         folder = "/".join(f"{name}={row[name]}" for name in _partitions(table))
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{folder}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = _hadoop_path(spark, f"{root}/{table}/{folder}")
+        files.delete(path, True)
     _write(staged, root, table, "overwrite")
 
 
