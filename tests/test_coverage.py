@@ -5,7 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 from collections import Counter
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import START, candle, every
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import coverage
 from tidemark.operators import planning as pl
 from tidemark.plans import warehouse
+from tidemark.plans.catalog import catalogue
 from tidemark.sources import tables
 
 
@@ -150,3 +151,28 @@ def test_totals_and_availability(spark, candles, root):
     stored = {"spot": tables.read_table(spark, root, "spot")}
     expected = [tuple(r) for r in pl.availability(stored, "4h").collect()]
     assert [tuple(r) for r in coverage.availability_of_days({"spot": days}, "4h").collect()] == expected
+
+
+def test_availability_counts_rows_that_a_table_refuses(spark, tmp_path):
+    """An open interest of zero breaks the contract; it is the first row of one symbol and all of another."""
+    rows = [
+        (1, datetime(2024, 1, 1, 5), "view", 0.0),
+        (2, datetime(2024, 1, 3, 5), "view", 7.0),
+        (3, datetime(2024, 1, 4, 5), "click", 0.0),
+    ]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, event_type string, value double")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = catalogue()["coverage_availability"].build(spark, str(tmp_path)).collect()
+    spans = {tuple(str(x) for x in row) for row in found if row["data_type"] == "open_interest"}
+    assert spans == {
+        ("VIEWUSDT", "open_interest", "2024-01-01", "2024-01-03"),
+        ("CLICKUSDT", "open_interest", "2024-01-04", "2024-01-04"),
+    }
+
+
+def test_availability_of_refused_rows_alone(spark, tmp_path):
+    rows = [(1, datetime(2024, 1, 1, 5), "view", 0.0)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, event_type string, value double")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = catalogue()["coverage_availability"].build(spark, str(tmp_path)).collect()
+    assert {row["data_type"] for row in found} == {"open_interest", "funding_rates"}

@@ -1117,7 +1117,7 @@ def coverage_periods_metric(spark, folder):
 
 @add("coverage_availability", with_views(AVAILABLE, "k1h", "holed", "oi", "fr"))
 def coverage_availability(spark, folder):
-    """First and last day of four stored tables, from kept summaries alone."""
+    """First and last day of four stored tables and of the rows that these refuse, from summaries of days."""
     root = scratch_path(spark, "available")
     stored = {
         "spot": views.hourly_candles(spark, folder),
@@ -1125,13 +1125,24 @@ def coverage_availability(spark, folder):
         "open_interest": views.open_interest(spark, folder),
         "funding_rates": views.funding_rates(spark, folder).where(F.col("symbol") != "ERRORUSDT"),
     }
-    for name, rows in stored.items():
-        tables.insert_new(spark, root, name, rows)
     return coverage.availability_of_days(
-        {name: tables.read_coverage(spark, root, name) for name in stored}, "1h"
+        {name: _days_of(spark, root, name, rows) for name, rows in stored.items()}, "1h"
     )
 
 
+def _days_of(spark, root, name, rows):
+    """Summaries of days: kept ones of the rows that the table takes, fresh ones of the others (such
+    as an open interest of zero), so that a refused row is neither stored nor left out."""
+    rows = materialise(rows, name)
+    refused = va.breaks_any_rule(name)
+    tables.insert_new(spark, root, name, rows.where(~refused))
+    fresh = coverage.day_summaries(rows.where(refused), name)
+    if not tables.table_exists(spark, root, name):
+        return fresh
+    days = tables.read_coverage(spark, root, name)
+    return days.unionByName(fresh.select(*days.columns))
+
+
 @add(
     "export_csv",
     with_views(
