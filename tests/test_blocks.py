@@ -108,3 +108,30 @@ def test_narrow_windows_are_refused_here(spark):
 def test_empty_series(spark):
     df = spark.createDataFrame([], "exchange string, symbol string, interval string, timestamp timestamp_ntz, close double")
     assert rolling_volatility(df, 10_000).count() == 0
+
+
+def shuffled_records(spark):
+    context = spark.sparkContext
+    none = context._gateway.new_array(context._jvm.double, 0)
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, none, context._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_rows_are_shuffled_once_for_their_places_and_twice_for_their_windows(spark):
+    """Own block and edge are all that a row is sent to; nothing with moments is joined row by row."""
+    n, width = 40_000, 10_000
+    df = spark.range(n).select(
+        F.lit("x").alias("exchange"),
+        F.lit("s").alias("symbol"),
+        F.lit("1d").alias("interval"),
+        (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id") * 7)).alias("timestamp"),
+        (1 + F.col("id") * 37 % 101).cast("double").alias("close"),
+    )
+    before, threshold = shuffled_records(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # Joins as on large tables, which are not broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rolling_volatility(df, width).count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert shuffled_records(spark) - before < 3.2 * n

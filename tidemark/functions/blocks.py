@@ -3,13 +3,13 @@
 Slices are bounded by counts, not by time: a slice with too many rows is divided at the extent of
 its own times, again and again, and where one time has too many rows (or the time is NULL) at the
 next column of the order. Offsets of slices give each row its place in the series, and places cut
-a series into blocks of equal size, from which a wide window is put together: the end of one block,
-whole blocks, and the start of another.
+a series into blocks of equal size, from which a wide window is put together: what is left of the
+rows that drop out inside its block, the rows between, and the start of the block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,34 +90,62 @@ def with_positions(
 
     Rows are ordered inside slices only. One row a slice goes through a window of the series.
     """
-    keys = list(keys)
+    return _placed(stored, list(keys), order, step_seconds).drop("_nth", "_n", SLICE)
+
+
+def _placed(
+    stored: DataFrame, keys: list[str], order: Sequence[str], step_seconds: Column, previous: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Rows with POSITION, place in the slice (from 1) and rows of the slice.
+
+    ``previous`` maps new columns to those whose value they take from the row before in the slice;
+    they come from the very ordering that the places come from, as equal rows may be ordered anew.
+    """
     rows = with_counted_slices(stored, keys, order, step_seconds)
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*keys, SLICE)
         .agg(F.count("*").alias("_n"))
-        .select(*keys, SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        .select(*keys, SLICE, "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    nth = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order))
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    before = {name: F.lag(value).over(inside) for name, value in (previous or {}).items()}
     return (
-        rows.withColumn("_nth", nth.cast("bigint"))
+        rows.withColumns({"_nth": F.row_number().over(inside).cast("bigint"), **before})
         .join(offsets, [*keys, SLICE])
         .withColumn(POSITION, F.col("_offset") + F.col("_nth") - 1)
-        .drop("_nth", "_offset", SLICE)
+        .drop("_offset")
     )
 
 
+def with_positions_and_previous(
+    stored: DataFrame, keys: Sequence[str], order: Sequence[str], step_seconds: Column, value: str, prefix: str = "prev_"
+) -> DataFrame:
+    """``with_positions``, and the value of the row before, from one ordering of the rows.
+
+    The rows are kept in the shared folder. Only first and last rows of slices go through a window
+    of the series, to give the first ones the value of the slice before.
+    """
+    keys, name = list(keys), prefix + value
+    placed = _placed(stored, keys, order, step_seconds, {name: value})
+    ends = {"_first": F.col("_nth") == 1, "_last": F.col("_nth") == F.col("_n")}
+    kept = materialise(placed.withColumns(ends).drop("_nth", "_n", SLICE), "places")
+    whole = Window.partitionBy(*keys).orderBy(POSITION)
+    heads = kept.where(F.col("_first") | F.col("_last")).withColumn(name, F.lag(value).over(whole)).where("_first")
+    return kept.where(~F.col("_first")).unionByName(heads).drop("_first", "_last")
+
+
 def block_of(position: Column | str) -> Column:
     return F.floor((F.col(position) if isinstance(position, str) else position) / ordered.SLICE_STEPS).cast("bigint")
 
 
-def _moments(value: str, window) -> Column:
+def _moments(value: Column, over: Callable[[Column], Column] = lambda figure: figure) -> Column:
     """Number, mean and sum of squared distances from the mean; NULLs are left out."""
-    number = F.count(value).over(window)
+    number = over(F.count(value))
     return F.struct(
         number.alias("n"),
-        F.coalesce(F.avg(value).over(window), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.var_pop(value).over(window) * number, F.lit(0.0)).alias("m2"),
+        F.coalesce(over(F.avg(value)), F.lit(0.0)).alias("mean"),
+        F.coalesce(over(F.var_pop(value)) * number, F.lit(0.0)).alias("m2"),
     )
 
 
@@ -141,51 +169,42 @@ def rolling_deviation(
 ) -> DataFrame:
     """Add the sample deviation of ``value`` over the last ``width`` rows by POSITION.
 
-    ``width`` exceeds a block. A window is the rest of the block it begins in, the whole blocks
-    after that, and the start of the row's own block. The first comes by a join on (series, place),
-    the second by a join on (series, block, first block); either holds at most a block of rows for
-    a key, so a long series is spread like many short ones. Two windows at most differ in their
-    whole blocks inside one block, so there are two merges of width / block parts a block.
+    ``width`` exceeds a block. All windows that end in a block share the rows between its edge and
+    its start: the edge are the rows that drop out of the window inside the block. So a row goes to
+    its own block and, with its value alone, to the block that it drops out of; there a window is the
+    rest of the edge, the rows between and the start of the block. Both go through one shuffle, and a
+    block holds two blocks of rows at most, so a long series is spread like many short ones. Edges
+    and block borders cut the series into two parts a block, whose moments give what lies between:
+    two merges of width / block parts a block. ``df`` is read three times, the result is kept in the
+    shared folder.
     """
     keys, size = list(keys), ordered.SLICE_STEPS
     if width <= size:
         raise ValueError(f"a window of {width} rows is no wider than a block of {size}")
-    block = Window.partitionBy(*keys, "_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = materialise(
-        df.withColumn("_block", block_of(POSITION)).withColumns(
-            {
-                "_start": _moments(value, block.orderBy(POSITION)),
-                "_rest": _moments(value, block.orderBy(F.col(POSITION).desc())),
-            }
-        ),
-        "block-moments",
-    )
-
-    def opening(position: Column) -> Column:
-        """Block that the window of a place begins in; -1 before the first row."""
-        return F.greatest(block_of(position - (width - 1)), F.lit(-1).cast("bigint"))
-
-    whole = rows.where(F.col(POSITION) % size == size - 1).select(*keys, F.col("_block").alias("_inner"), F.col("_start").alias("_whole"))
-    first = F.col("_block") * size
-    spans = (
-        rows.where(F.col(POSITION) % size == 0)
-        .select(*keys, "_block", F.explode(F.array_distinct(F.array(opening(first), opening(first + (size - 1))))).alias("_opening"))
-        .where(F.col("_block") - F.col("_opening") > 1)
-        .withColumn("_inner", F.explode(F.sequence(F.col("_opening") + 1, F.col("_block") - 1)))
+    dropped = F.col(POSITION) + (width - 1)
+    parts = df.groupBy(*keys, block_of(POSITION).alias("_from"), block_of(dropped).alias("_to")).agg(
+        _moments(F.col(value)).alias("_part")
     )
     between = (
-        spans.join(whole, [*keys, "_inner"])
-        .groupBy(*keys, "_block", "_opening")
-        .agg(F.sort_array(F.collect_list(F.struct("_inner", "_whole"))).alias("_parts"))
-        .select(*keys, "_block", "_opening", F.aggregate("_parts", _nothing(), lambda so_far, part: _merged(so_far, part["_whole"])).alias("_between"))
+        parts.where(F.col("_to") - F.col("_from") > 1)
+        .withColumn("_block", F.explode(F.sequence(F.col("_from") + 1, F.col("_to") - 1)))
+        .groupBy(*keys, "_block")
+        .agg(F.sort_array(F.collect_list(F.struct("_from", "_to", "_part"))).alias("_parts"))
+        .select(*keys, "_block", F.aggregate("_parts", _nothing(), lambda so_far, part: _merged(so_far, part["_part"])).alias("_between"))
     )
-    ends = rows.select(*keys, (F.col(POSITION) + (width - 1)).alias(POSITION), F.col("_rest").alias("_edge"))
-    total = _merged(_merged(F.coalesce("_edge", _nothing()), F.coalesce("_between", _nothing())), F.col("_start"))
-    return (
-        rows.withColumn("_opening", opening(F.col(POSITION)))
-        .join(ends, [*keys, POSITION], "left")
-        .join(between, [*keys, "_block", "_opening"], "left")
+    edges = df.select(*keys, dropped.alias(POSITION), value, F.lit(False).alias("_own"))
+    rows = df.withColumn("_own", F.lit(True)).unionByName(edges, allowMissingColumns=True).withColumn("_block", block_of(POSITION))
+    block = Window.partitionBy(*keys, "_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Upwards the block so far; downwards the edge that is left, a row's last value before the row.
+    start = _moments(F.when(F.col("_own"), F.col(value)), lambda figure: figure.over(block.orderBy(POSITION)))
+    rest = _moments(F.when(~F.col("_own"), F.col(value)), lambda figure: figure.over(block.orderBy(F.col(POSITION).desc(), "_own")))
+    total = _merged(_merged(F.col("_rest"), F.coalesce("_between", _nothing())), F.col("_start"))
+    found = (
+        rows.withColumns({"_start": start, "_rest": rest})
+        .where("_own")
+        .join(between, [*keys, "_block"], "left")
         .withColumn("_total", total)
         .withColumn(name, F.when(F.col("_total.n") > 1, F.sqrt(F.col("_total.m2") / F.greatest(F.col("_total.n") - 1, F.lit(1)))))
         .select(*df.columns, name)
     )
+    return materialise(found, "deviations")

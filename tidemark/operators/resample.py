@@ -91,11 +91,10 @@ def rolling_volatility(df: DataFrame, candles: int) -> DataFrame:
     change = F.ln(F.col("close") / F.col("prev_close"))
     if candles > ordered.SLICE_STEPS:
         stored = materialise(rows, "closes")
-        placed = materialise(blocks.with_positions(stored, keys, order, step), "places")
+        placed = blocks.with_positions_and_previous(stored, keys, order, step, "close")
         discard(stored)
-        place = blocks.POSITION
-        returns = with_previous(placed, keys, [place], ["close"], blocks.block_of(place)).withColumn("log_return", change)
-        return blocks.rolling_deviation(returns, keys, "log_return", candles, "volatility").drop(place)
+        returns = placed.withColumn("log_return", change).drop("prev_close")
+        return blocks.rolling_deviation(returns, keys, "log_return", candles, "volatility").drop(blocks.POSITION)
     slices = time_slice("timestamp", step)
     returns = with_previous(rows, keys, order, ["close"], slices).withColumn("log_return", change)
     return with_trailing(
