@@ -88,6 +88,28 @@ def test_cache_generations_change_nothing(monkeypatch):
     assert small == packing.WordEncoder(tokenizer_path()).encode(texts)
 
 
+def test_words_that_differ_in_case_are_learned_once():
+    encoder = packing.WordEncoder(tokenizer_path())
+    small, mixed = encoder.encode([b"the cat, naive cat", b"The CAT, Naive cat"])
+    assert small == mixed and set(encoder.by_word) == {b"the", b"cat,", b"naive", b"cat"}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "J\u030c j\u030c \u01f0 H\u0331 W\u030a T\u0308",  # small letters that join a mark, capitals that do not
+        "I\u0307 \u0130 \u01c4 \u03a3A\u03a3 A\u03a3. \u212aK \u017fS",
+        "<|endoftext|> <|ENDOFTEXT|> a<|EndOfText|>B",
+        "Don't DON'T We'Re x'S 'S' abc1 Ab12, c_ _C \u00c9t\u00c9! \u00df\u1e9e A\u00b2 B\u0085C",
+    ],
+)
+def test_lower_casing_first_changes_no_token(text):
+    from tokenizers import Tokenizer
+
+    found = packing.WordEncoder(tokenizer_path()).encode([text.encode()])[0]
+    assert np.frombuffer(found, "<u4").tolist() == Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
+
+
 def test_hilbert_curve_visits_neighbours():
     for dims, bits in ((2, 3), (3, 2), (4, 2)):
         grid = np.array(list(itertools.product(range(1 << bits), repeat=dims)))

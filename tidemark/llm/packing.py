@@ -11,6 +11,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import chain, pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ SLICE_BYTES = 1 << 20
 
 # Words whose lower-casing, normal form or pieces need the tokenizer's own rules.
 _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbeİ̀-\U0010ffff]|<\\|")
+# Texts with these stay as they are: small letters may join marks that capitals don't (J and a caron),
+# and special tokens have a case. Lead bytes from U+0300 on.
+_CASED = re.compile(b"[\xcc-\xff]")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -53,50 +57,67 @@ class WordEncoder:
         self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
+        # The last token of a piece is marked, where the tokenizer marks ends of words.
+        suffix = getattr(self.pieces.model, "end_of_word_suffix", None)
+        vocabulary = self.pieces.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.by_word: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.by_piece: dict[str, bytes] = {}
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         chunks = [pieces[i : i + 512] for i in range(0, len(pieces), 512)]
-        encoded = self.pieces.encode_batch([" ".join(c) for c in chunks], add_special_tokens=False)
-        for chunk, found in zip(chunks, encoded, strict=True):
-            packed = np.asarray(found.ids, dtype="<u4").tobytes()
-            cuts = (4 * np.searchsorted(np.asarray(found.word_ids), np.arange(len(chunk) + 1))).tolist()
+        lines = [" ".join(c) for c in chunks]
+        encoded = self.pieces.encode_batch_fast(lines, add_special_tokens=False)
+        for chunk, line, found in zip(chunks, lines, encoded, strict=True):
+            ids = np.asarray(found.ids, dtype="<u4")
+            cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+            if len(cuts) != len(chunk) + 1 or cuts[-1] != 4 * len(ids):
+                found = self.pieces.encode(line, add_special_tokens=False)
+                ids = np.asarray(found.ids, dtype="<u4")
+                cuts = (4 * np.searchsorted(np.asarray(found.word_ids), np.arange(len(chunk) + 1))).tolist()
+            packed = ids.tobytes()
             self.by_piece.update(zip(chunk, [packed[x:y] for x, y in pairwise(cuts)], strict=True))
 
     def _learn(self, words: set[bytes]) -> None:
-        # Most words are one piece; the others are kept apart with their pieces.
+        # Most words are one piece, many are one and a mark or digit; the others are kept with their pieces.
         plain: list[bytes] = []
         lowered: list[str] = []
         cut: list[tuple[bytes, list[str]]] = []
-        for word in words:
-            text = word.decode("utf-8")
-            simple = text.isalpha()
-            if simple and text.isascii():
+        marked: list[bytes] = []
+        stems: list[str] = []
+        marks: list[str] = []
+        listed = list(words)
+        # No word holds a space, and lower-casing makes none.
+        line = b" ".join(listed).decode("utf-8")
+        for word, text, low in zip(listed, line.split(" "), line.lower().split(" "), strict=True) if listed else ():
+            if text.isalpha() and (word.isascii() or not _UNUSUAL.search(text)):
                 plain.append(word)
-                lowered.append(text.lower())
+                lowered.append(low)
+            elif text[:-1].isalpha() and (word.isascii() or not _UNUSUAL.search(text)):
+                marked.append(word)
+                stems.append(low[:-1])
+                marks.append(low[-1])
             elif _UNUSUAL.search(text):
                 ids = self.whole.encode(text, add_special_tokens=False).ids
                 self.by_word[word] = np.asarray(ids, dtype="<u4").tobytes()
-            elif simple:
-                plain.append(word)
-                lowered.append(text.lower())
             else:
-                cut.append((word, _PIECE.findall(text.lower())))
+                cut.append((word, _PIECE.findall(low)))
         if len(self.by_piece) > CACHED_WORDS:
             self.by_piece.clear()
-        pieces = set(lowered)
+        pieces = set(lowered).union(stems, marks)
         pieces.update(chain.from_iterable(found for _, found in cut))
         self._learn_pieces(list(pieces.difference(self.by_piece)))
         known = self.by_piece.__getitem__
         self.by_word.update(zip(plain, map(known, lowered), strict=True))
+        self.by_word.update(zip(marked, map(add, map(known, stems), map(known, marks)), strict=True))
         for word, found in cut:
             self.by_word[word] = b"".join(map(known, found))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        words = [text.split() for text in texts]
+        words = [_folded(text).split() for text in texts]
         new = set(chain.from_iterable(words))
         if len(self.by_word) > CACHED_WORDS:
             self.by_word, self.older = {}, self.by_word
@@ -107,6 +128,13 @@ class WordEncoder:
         return [b"".join(map(known, found)) for found in words]
 
 
+def _folded(text: bytes) -> bytes:
+    """The text with A-Z in lower case, where that changes no token; so fewer words differ."""
+    if b"<|" in text or not text.isascii() and _CASED.search(text):
+        return text
+    return text.lower()
+
+
 def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
     """The texts in turn, in groups of about SLICE_BYTES."""
     group: list[bytes] = []
